@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from . import line_dedup, mixing, quality
+from . import bpe, line_dedup, mixing, ngram_join, quality
 from .common import documents
 
 
@@ -10,6 +10,8 @@ def queries():
     return {
         "op1_line_dedup": lambda spark, d: line_dedup.line_dedup(documents(spark, d)),
         "op3_source_mixing": lambda spark, d: mixing.mix_sources(documents(spark, d)),
+        "op4_ngram_jaccard_join": lambda spark, d: ngram_join.ngram_jaccard_join(documents(spark, d)),
+        "op5_bpe": lambda spark, d: bpe.bpe_encode(documents(spark, d)),
         "op7_quality_rules": lambda spark, d: quality.quality_rules(documents(spark, d)),
     }
 
