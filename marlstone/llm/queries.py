@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from . import bpe, line_dedup, mixing, ngram_join, quality
+from . import bpe, line_dedup, mixing, ngram_join, quality, suffix_dedup
 from .common import documents
 
 
@@ -12,6 +12,7 @@ def queries():
         "op3_source_mixing": lambda spark, d: mixing.mix_sources(documents(spark, d)),
         "op4_ngram_jaccard_join": lambda spark, d: ngram_join.ngram_jaccard_join(documents(spark, d)),
         "op5_bpe": lambda spark, d: bpe.bpe_encode(documents(spark, d)),
+        "op6_suffix_array_dedup": lambda spark, d: suffix_dedup.repeated_passages(documents(spark, d)),
         "op7_quality_rules": lambda spark, d: quality.quality_rules(documents(spark, d)),
     }
 
