@@ -52,8 +52,9 @@ def chunks(texts: pa.Array, size: int = CHUNK):
         yield at, len(lengths)
 
 
-def words(texts: pa.Array) -> tuple[np.ndarray, np.ndarray]:
-    """(hash of every word in order, offsets of the rows' words). A word is a maximal run of ASCII letters and digits
+def words(texts: pa.Array, prefixes: tuple[int, ...] = ()):
+    """(hash of every word in order, offsets of the rows' words, and if prefixes are given a matrix of the hashes of the
+    words' first so many bytes, 0 where the word has no more). A word is a maximal run of ASCII letters and digits
     and of characters beyond ASCII, in lower case; a null text has none."""
     low = pc.utf8_lower(pc.fill_null(texts.cast(pa.large_string()), ""))
     low = pa.concat_arrays([low])
@@ -61,7 +62,8 @@ def words(texts: pa.Array) -> tuple[np.ndarray, np.ndarray]:
     first, last = int(offsets[0]), int(offsets[-1])
     n = last - first
     if n == 0:
-        return np.zeros(0, np.uint64), np.zeros(len(low) + 1, np.int64)
+        none = np.zeros(0, np.uint64), np.zeros(len(low) + 1, np.int64)
+        return (*none, np.zeros((0, len(prefixes)), np.uint64)) if prefixes else none
     data = np.frombuffer(low.buffers()[2], np.uint8)[first:last]
     offsets = offsets - first
     inside = _word[data]
@@ -77,7 +79,15 @@ def words(texts: pa.Array) -> tuple[np.ndarray, np.ndarray]:
     up, down = _powers(n + 1)
     sums = np.zeros(n + 1, np.uint64)
     np.cumsum(_table[data] * up[:n], out=sums[1:])
-    return mix((sums[e] - sums[s]) * down[s]), np.searchsorted(s, offsets).astype(np.int64)
+    whole, starts = mix((sums[e] - sums[s]) * down[s]), np.searchsorted(s, offsets).astype(np.int64)
+    if not prefixes:
+        return whole, starts
+    heads = np.zeros((len(s), len(prefixes)), np.uint64)
+    for j, k in enumerate(prefixes):
+        longer = np.flatnonzero(e - s > k)
+        at = s[longer]
+        heads[longer, j] = mix((sums[at + k] - sums[at]) * down[at] + np.uint64(k))
+    return whole, starts, heads
 
 
 def grams(hashes: np.ndarray, offsets: np.ndarray, n: int) -> tuple[np.ndarray, np.ndarray]:
