@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from . import bpe, line_dedup, mixing, ngram_join, pii, quality, secrets, suffix_dedup, toxicity
+from . import bpe, line_dedup, mixing, ngram_join, pii, quality, secrets, suffix_dedup, toxicity, webp
 from .common import documents
 
 
@@ -15,6 +15,7 @@ def queries():
         "op5_bpe": lambda spark, d: bpe.bpe_encode(documents(spark, d)),
         "op6_suffix_array_dedup": lambda spark, d: suffix_dedup.repeated_passages(documents(spark, d)),
         "op7_quality_rules": lambda spark, d: quality.quality_rules(documents(spark, d)),
+        "op8_webp": lambda spark, d: webp.decode_column(webp.thumbnails(spark.read.parquet(f"{d}/embeddings.parquet"))),
         "op9_personal_data": lambda spark, d: pii.personal_data(documents(spark, d)),
         "op10_secret_scan": lambda spark, d: secrets.secret_scan(documents(spark, d)),
     }
