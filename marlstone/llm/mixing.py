@@ -42,7 +42,8 @@ def source_epochs(docs: DataFrame, weights: dict[str, float] | None = None, max_
     before = F.coalesce(F.sum("cap").over(order.rowsBetween(Window.unboundedPreceding, -1)), F.lit(0.0))
     rest = F.sum("w").over(order.rowsBetween(0, Window.unboundedFollowing))
     live = live.withColumn("lam", F.when(F.col("w") > 0, (F.col("t") - before) / rest))
-    level = F.min(F.when(F.col("q") > F.col("lam"), F.col("lam"))).over(every)
+    # Up to the first source below its cap the level rises with every clamp; behind that one it only falls.
+    level = F.max(F.when(F.col("q") > F.col("lam"), F.col("lam"))).over(every)
     amount = F.least("cap", F.coalesce(level * F.col("w"), F.col("cap")))
     epochs = F.when((F.col("z") > 0) & (F.col("w") > 0), F.round(amount / F.col("z"), 9)).otherwise(0.0)
     return live.select("s", epochs.alias("epochs"))
@@ -76,7 +77,7 @@ w AS (SELECT s, z, sqrt(CAST(z AS DOUBLE)) AS w, z * 3.0::DOUBLE AS cap FROM siz
 q AS (SELECT *, least((sum(z) OVER ())::DOUBLE, sum(cap) OVER ()) AS t, CASE WHEN w > 0 THEN cap / w END AS q FROM w),
 l AS (SELECT *, CASE WHEN w > 0 THEN (t - coalesce(sum(cap) OVER (ORDER BY q NULLS LAST, s NULLS FIRST ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0))
     / sum(w) OVER (ORDER BY q NULLS LAST, s NULLS FIRST ROWS BETWEEN CURRENT ROW AND UNBOUNDED FOLLOWING) END AS lam FROM q),
-e AS (SELECT s, CASE WHEN z > 0 THEN round(least(cap, coalesce((SELECT min(lam) FROM l WHERE q > lam) * w, cap)) / z, 9) ELSE 0.0 END AS epochs FROM l)
+e AS (SELECT s, CASE WHEN z > 0 THEN round(least(cap, coalesce((SELECT max(lam) FROM l WHERE q > lam) * w, cap)) / z, 9) ELSE 0.0 END AS epochs FROM l)
 SELECT d.doc_id, d.source, e.epochs,
   CAST(floor(e.epochs) AS BIGINT) + CASE WHEN ('0x' || substr(md5('{SEED}:' || coalesce(CAST(d.doc_id AS VARCHAR), 'null')), 1, 8))::UBIGINT / 4294967296.0::DOUBLE
     < round(e.epochs - floor(e.epochs), 9) THEN 1 ELSE 0 END AS copies

@@ -111,7 +111,7 @@ def test_stages_on_edge_rows(spark, name):
     texts = sorted((r.doc_id or -1) for r in got)
     want = {
         "quality_rules": [-1, 3, 3, 5],
-        "line_dedup": [-1, 1, 2, 3, 4, 5],
+        "line_dedup": [-1, 1, 2, 3, 3, 4, 5],
         "near_copies": [-1, 1, 2, 3, 3, 4, 5],
         "bpe_encoding": [-1, 1, 2, 3, 3, 4, 5],
     }
