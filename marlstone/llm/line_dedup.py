@@ -43,6 +43,10 @@ def _runs(kept, n):
 
 def line_dedup(docs: DataFrame) -> DataFrame:
     """(doc_id, n_lines, n_kept, keep_bitmap), one row per document."""
+    return _bitmaps(docs).select("doc_id", "n_lines", "n_kept", "keep_bitmap")
+
+
+def _bitmaps(docs: DataFrame) -> DataFrame:
     base = docs.select(F.col("doc_id").alias("d"), F.col("text").alias("t"))
     base = base.select("d", F.xxhash64("t").alias("v"), F.split("t", "\n", -1).alias("ls"))
     line = F.col("l")
@@ -72,6 +76,7 @@ def line_dedup(docs: DataFrame) -> DataFrame:
     text = F.when(F.size("kept") == 0, F.when(F.col("n") > 0, F.col("n").cast("string")).otherwise("")).when(whole, F.concat(F.lit("0,"), F.col("n").cast("string"))).otherwise(bitmap)
     return by_doc.select(
         F.col("d").alias("doc_id"),
+        "v",
         F.col("n").cast("long").alias("n_lines"),
         F.size("kept").cast("long").alias("n_kept"),
         text.alias("keep_bitmap"),
@@ -87,12 +92,12 @@ def keep_flags(bitmap):
 def drop_repeated_lines(docs: DataFrame) -> DataFrame:
     """docs with repeated lines taken out of text and n_chars set to its new length.
 
-    Documents of which no line that isn't blank stays are dropped, as are rows that repeat an earlier doc_id and text.
-    A null or blank text is passed through. Columns other than text and n_chars are passed through unchanged.
+    Documents of which no line that isn't blank stays are dropped. Rows equal in doc_id and text are one document: each
+    of them stays or goes, with the same text. A null or blank text is passed through. Columns other than text and n_chars are passed through unchanged.
     """
-    bitmaps = line_dedup(docs).select(F.col("doc_id").alias("d"), F.col("n_lines").alias("n"), F.col("n_kept").alias("k"), F.col("keep_bitmap").alias("b"))
+    bitmaps = _bitmaps(docs).select(F.col("doc_id").alias("d"), "v", F.col("n_lines").alias("n"), F.col("n_kept").alias("k"), F.col("keep_bitmap").alias("b"))
     rows = docs.select(F.struct("*").alias("r"))
-    joined = rows.join(bitmaps, F.col("r.doc_id").eqNullSafe(F.col("d")), "left")
+    joined = rows.join(bitmaps, F.col("r.doc_id").eqNullSafe(F.col("d")) & (F.xxhash64("r.text") == F.col("v")), "left")
     flags = keep_flags(F.col("b"))
     lines = F.split(F.col("r.text"), "\n", -1)
     kept = F.transform(F.filter(F.arrays_zip(lines.alias("l"), flags.alias("f")), lambda x: x["f"]), lambda x: x["l"])
