@@ -30,7 +30,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from . import textvec as tv
-from .common import drop_stash, stash
+from .common import broadcast_if_small, drop_stash, stash
 
 T = 64
 BLOCK = 4096
@@ -324,7 +324,7 @@ def ngram_jaccard_join(docs: DataFrame, n: int = 3, threshold: float = 0.5, reca
 
     members = pairs.select("node", F.explode(F.array("a", "b")).alias("d")).distinct()
     needed = members.select("d").distinct()
-    grams = base.join(needed, "d").mapInArrow(_sets(n), "d long, grams binary")
+    grams = base.join(broadcast_if_small(needed, needed.count()), "d").mapInArrow(_sets(n), "d long, grams binary")
     rows = members.join(grams, "d").select("node", F.col("d").alias("a"), F.lit(None).cast("long").alias("b"), "grams")
     rows = rows.unionByName(pairs.select("node", "a", "b", F.lit(None).cast("binary").alias("grams")))
     near = rows.repartition("node").sortWithinPartitions("node", F.asc_nulls_first("b")).mapInArrow(_verify(threshold), "doc_a long, doc_b long, jaccard double")
