@@ -26,10 +26,19 @@ def shared_dir(spark: SparkSession) -> str:
 
 
 def stash(df: DataFrame, tag: str) -> DataFrame:
-    """df written to the shared folder and read back: its lineage ends at files that outlive any executor."""
+    """df written to the shared folder and read back: its lineage ends at files that outlive any executor.
+
+    The shuffle files of the write go as soon as it is done; nothing reads them again.
+    """
     spark = df.sparkSession
     path = f"{shared_dir(spark)}/{tag}-{uuid.uuid4().hex}"
-    df.write.parquet(path)
+    cleanup = "spark.sql.classic.shuffleDependency.fileCleanup.enabled"
+    before = spark.conf.get(cleanup, None)
+    spark.conf.set(cleanup, "true")
+    try:
+        df.write.parquet(path)
+    finally:
+        spark.conf.unset(cleanup) if before is None else spark.conf.set(cleanup, before)
     out = spark.read.schema(df.schema).parquet(path)
     out._stash_path = path
     return out

@@ -1,11 +1,12 @@
 """Repeated passages by distributed prefix doubling over a suffix array of words.
 
 Two word positions get the same rank at length h iff the h words from them on are the same. Spark sorts the pairs
-(rank at h of position p, rank at h of position p + h), numbers equal pairs alike, and so has the ranks at 2h; a
+(rank at h of position p, rank at h of position p + h), gives equal pairs a rank of their own, and so has those at 2h; a
 position whose pair is unique leaves, since no longer prefix of it can repeat either. The last offset is cut so that
 the final length is the threshold itself; positions still tied then begin a repeat of at least that many words.
 
-The first ranks are those at `base` words, hashed (128 bits) where the text lies. Before any of them moves, an exact filter
+The first ranks are those at `base` words, hashed (128 bits) where the text lies; later ones are 64-bit numbers of the
+pair, which n live positions confuse with probability n^2 / 2^65. Before any of them moves, an exact filter
 drops the text that can't hold a repeat: in every stretch of threshold words the base-gram with the lowest hash is an
 anchor, so two equal stretches have equal anchors, and only positions from which a stretch reaches an anchor met twice
 stay in. Documents with the same words throughout are one document here, all of them repeats.
@@ -136,14 +137,9 @@ def _starts(threshold: int, base: int):
 
 
 def _rerank(pairs: DataFrame) -> DataFrame:
-    """Sorts the pairs (r1, r2); equal pairs share a rank, the lowest (k, p) among them, and unique ones leave."""
+    """Sorts the rank pairs (r1, r2); equal pairs share a rank, and unique ones leave."""
     tie = Window.partitionBy("r1", "r2")
-    return (
-        pairs.withColumn("c", F.count("*").over(tie))
-        .withColumn("first", F.first("at").over(tie.orderBy("at")))
-        .where("c > 1")
-        .select("k", "p", F.col("first").alias("r"))
-    )
+    return pairs.withColumn("c", F.count("*").over(tie)).where("c > 1").select("k", "p", F.xxhash64("r1", "r2").alias("r"))
 
 
 def repeated_passages(docs: DataFrame, threshold: int = 50, base: int = 16) -> DataFrame:
@@ -162,14 +158,13 @@ def repeated_passages(docs: DataFrame, threshold: int = 50, base: int = 16) -> D
     # Rows alike in doc_id and text share a key; one of them stands for all.
     ranks = keyed.select("k", "t").join(near, "k").dropDuplicates(["k"]).select("k", "t", "hot")
     ranks = ranks.mapInArrow(_starts(threshold, base), "k long, p int, r1 long, r2 long")
-    ranks = stash(_rerank(ranks.withColumn("at", F.struct("k", "p"))), "rank")
+    ranks = stash(_rerank(ranks), "rank")
     h = base
     while h < threshold:
         step = min(h, threshold - h)
         ahead = Window.partitionBy("k").orderBy("p").rangeBetween(step, step)
         paired = ranks.withColumn("r2", F.first("r").over(ahead)).where("r2 IS NOT NULL")
-        paired = paired.select("k", "p", F.col("r").alias("r1"), "r2", F.struct("k", "p").alias("at"))
-        new = stash(_rerank(paired), "rank")
+        new = stash(_rerank(paired.select("k", "p", F.col("r").alias("r1"), "r2")), "rank")
         drop_stash(ranks)
         ranks, h = new, h + step
 
