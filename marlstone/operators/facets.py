@@ -25,18 +25,19 @@ def equal_text(a: Column, b: str) -> Column:
 
 
 def constraint(field: str, op: str, value, kinds: dict[str, str]) -> Column:
-    """One constraint as a predicate; a missing value satisfies none, negative ones included."""
+    """One constraint as a predicate, null or false for a missing value whatever the operator. Kinds: cat, date (ISO text),
+    num, and num_text for numbers held as text; comparisons of num columns reach the scan."""
     if field not in kinds:
         raise ValueError(f"unknown field {field}")
     kind = kinds[field]
-    if op not in {"num": NUM, "date": DATE, "cat": CAT}[kind]:
+    if op not in {"num": NUM, "num_text": NUM, "date": DATE, "cat": CAT}[kind]:
         raise ValueError(f"{op} isn't for {kind} fields")
     if op in ("in", "not_in", "month_in", "month_not_in", "between") and not isinstance(value, (list, tuple)):
         raise ValueError(f"{op} takes a list")
     if op == "between" and len(value) != 2:
         raise ValueError("between takes two values")
-    if kind == "num":
-        x = F.col(field).try_cast("double")
+    if kind in ("num", "num_text"):
+        x = F.col(field) if kind == "num" else F.col(field).try_cast("double")
         value = [float(v) for v in value] if isinstance(value, (list, tuple)) else float(value)
     elif kind == "date":
         x = F.substring(F.col(field), 1, 10)
@@ -64,7 +65,7 @@ def constraint(field: str, op: str, value, kinds: dict[str, str]) -> Column:
             "in": lambda: x.isin(list(value)),
             "not_in": lambda: ~x.isin(list(value)),
         }[op]()
-    return F.coalesce(hit & (F.col(field).cast("string") != ""), F.lit(False))
+    return hit if kind in ("num", "num_text") else hit & (F.col(field) != "")
 
 
 def compile_filter(constraints: list[dict], kinds: dict[str, str]) -> Column:

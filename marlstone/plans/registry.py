@@ -11,6 +11,8 @@ from ..operators import dialogue as L
 from ..operators import facets as A
 from ..operators import mining as M
 from ..operators import retrieval as R
+from ..operators import sequential as X
+from ..streaming import windows as W
 from .views import CARDS, CHUNKS, NORMAL, TOKENS, cards, chunks, table
 
 KINDS = {"number": "cat", "customer": "cat", "region": "cat", "nation": "cat", "phase": "cat", "procedure": "cat", "price": "num", "published": "date"}
@@ -507,3 +509,57 @@ def collect_positives(spark, d):
     c, b = chunks(spark, d), bench(spark, d)
     j = R.bm25(c, b).join(c.select("chunk_id", "raw_text"), "chunk_id").join(b, "query_id")
     return L.positives(j)
+
+
+@query("SELECT strftime(date_trunc('hour', ts), '%Y-%m-%d %H:%M:%S') AS start, event_type, count(*) AS n, round(sum(value), 4) AS total FROM events GROUP BY 1, 2")
+def windowed_events(spark, d):
+    return W.windowed_counts(table(spark, d, "events"))
+
+
+def _candidates(spark, d):
+    n = F.length("text")
+    bin_ = F.when(n <= 800, "low").when(n <= 2400, "mid").otherwise("high")
+    return _docs(spark, d).select(F.floor(F.col("id") / 3).cast("long").alias("batch"), "id", n.cast("double").alias("gap"), bin_.alias("bin"))
+
+
+@query()
+def one_of_n_datamix(spark, d):
+    """The running tally makes it sequential; held against a plain loop in the tests."""
+    return X.datamix_select(_candidates(spark, d))
+
+
+@query()
+def disjoint_bridges(spark, d):
+    """Greedy within each scope and entity; held against a plain loop in the tests."""
+    pairs = bridge_pairs(spark, d).withColumn("group", F.concat_ws("|", "scope", "entity")).select("group", "a", "b")
+    return X.disjoint_pairs(pairs, "group", ["a", "b"], 2)
+
+
+@query()
+def section_chunker(spark, d):
+    """Orders as records with a section for each line item; held against expected texts in the tests."""
+    lines = F.array_sort(F.collect_list(F.struct("l_linenumber", F.format_string("part %d: %s pieces at %s", F.col("l_partkey"), F.col("l_quantity").cast("string"), F.col("l_extendedprice").cast("string")).alias("t"))))
+    items = table(spark, d, "lineitem").groupBy(F.col("l_orderkey").cast("string").alias("number")).agg(lines.alias("xs"))
+    c = cards(spark, d).join(items, "number")
+    head = F.struct(F.lit("Order").alias("title"), F.array(F.concat(F.lit("customer: "), "customer"), F.concat(F.lit("region: "), "region"), F.concat(F.lit("published: "), "published")).alias("lines"))
+    body = F.struct(F.lit("Items").alias("title"), F.transform("xs", lambda x: x["t"]).alias("lines"))
+    return X.chunk_records(c.select("number", F.array(head, body).alias("sections")), "number", max_chars=300, merge_below=100, min_chars=20)
+
+
+@query("SELECT conv_id, turn, CAST(len(list_filter(list_transform(string_split(text, chr(10)), lambda x: trim(x)), lambda x: x <> '')) AS BIGINT) AS n_lines, upper(substr(trim(text), 1, 1)) || substr(trim(text), 2) || CASE WHEN regexp_matches(trim(text), '[.!?…]$') THEN '' ELSE '.' END AS sentence FROM conversations WHERE trim(text) <> ''")
+def sentence_case(spark, d):
+    t = F.trim("text")
+    lines = F.filter(F.transform(F.split("text", "\n", -1), lambda x: F.trim(x)), lambda x: x != "")
+    rows = table(spark, d, "conversations").where(t != "")
+    return rows.select("conv_id", "turn", F.size(lines).cast("long").alias("n_lines"), F.concat(F.upper(F.substring(t, 1, 1)), F.substring(t, 2, 1 << 30), F.when(t.rlike("[.!?…]$"), "").otherwise(".")).alias("sentence"))
+
+
+@query(f"WITH {CARDS} SELECT customer, count(*) AS n, min_by(region, number) AS region, min_by(nation, number) AS nation, min_by(procedure, number) FILTER (WHERE procedure <> '') AS procedure FROM cards GROUP BY customer")
+def document_view(spark, d):
+    return A.first_values(cards(spark, d), "customer", ["region", "nation", "procedure"], "number")
+
+
+@query("WITH f AS (SELECT event_type, user_id % 7 AS k, user_id % 3 <> 0 AS ok FROM events) SELECT event_type AS gate, CAST(k AS BIGINT) AS mechanic, count(*) AS seen, CAST(sum(CASE WHEN ok THEN 1 ELSE 0 END) AS BIGINT) AS passed FROM f GROUP BY ROLLUP (event_type, k)")
+def gate_funnel_by_mechanic(spark, d):
+    e = table(spark, d, "events").select(F.col("event_type").alias("gate"), (F.col("user_id") % 7).alias("mechanic"), (F.col("user_id") % 3 != 0).cast("long").alias("ok"))
+    return e.rollup("gate", "mechanic").agg(F.count("*").alias("seen"), F.sum("ok").alias("passed"))
