@@ -9,6 +9,7 @@ from ..operators import chunks as C
 from ..operators import dedup as D
 from ..operators import dialogue as L
 from ..operators import facets as A
+from ..operators import judging as J
 from ..operators import mining as M
 from ..operators import retrieval as R
 from ..operators import sequential as X
@@ -563,3 +564,74 @@ def document_view(spark, d):
 def gate_funnel_by_mechanic(spark, d):
     e = table(spark, d, "events").select(F.col("event_type").alias("gate"), (F.col("user_id") % 7).alias("mechanic"), (F.col("user_id") % 3 != 0).cast("long").alias("ok"))
     return e.rollup("gate", "mechanic").agg(F.count("*").alias("seen"), F.sum("ok").alias("passed"))
+
+
+@query(f"WITH {CHUNKS} SELECT item_id, chunk_id FROM benchmark b JOIN chunks c ON {NORMAL.format('b.text')} <> '' AND contains({NORMAL.format('c.raw_text')}, {NORMAL.format('b.text')})")
+def verbatim_spans(spark, d):
+    """Both sides are normalised before the join, once per row rather than once per pair."""
+    b = table(spark, d, "benchmark").select("item_id", T.normal(F.col("text")).alias("span")).where("span <> ''")
+    c = chunks(spark, d).select("chunk_id", T.normal(F.col("raw_text")).alias("whole"))
+    return c.join(R.small(b), F.contains("whole", "span")).select("item_id", "chunk_id")
+
+
+@query(f"""WITH t AS (SELECT a.conv_id, a.turn, a.text AS q, b.text AS a FROM conversations a JOIN conversations b ON a.conv_id = b.conv_id AND b.turn = a.turn + 1),
+w AS (SELECT *, list_distinct(list_filter({TOKENS.format('a')}, lambda w: length(w) >= 4)) AS ws FROM t)
+SELECT conv_id, turn, contains({NORMAL.format('q')}, {NORMAL.format('a')}) OR (CASE WHEN len(ws) = 0 THEN 0.0 ELSE len(list_filter(ws, lambda x: contains(lower(q), x))) / len(ws) END) >= 0.9 AS leak FROM w""")
+def answer_leaks(spark, d):
+    c = table(spark, d, "conversations")
+    after = c.select("conv_id", (F.col("turn") - 1).alias("turn"), F.col("text").alias("answer"))
+    return c.join(after, ["conv_id", "turn"]).select("conv_id", "turn", J.leaks(F.col("answer"), F.col("text")).alias("leak"))
+
+
+@query("""WITH t AS (SELECT doc_id, text, regexp_extract(text, '(?:^|[^0-9])((?:19|20)[0-9]{2})(?:[^0-9]|$)', 1) AS y, regexp_extract(text, '([0-9]{1,9})', 1) AS n FROM documents),
+f AS (SELECT *, CASE WHEN y <> '' THEN y ELSE n END AS f, CASE WHEN y <> '' THEN 3 ELSE 7 END AS k FROM t)
+SELECT doc_id, md5(CASE WHEN f = '' THEN text ELSE substr(text, 1, instr(text, f) - 1) || CAST(CAST(f AS BIGINT) + k AS VARCHAR) || substr(text, instr(text, f) + length(f)) END) AS hash, f <> '' AS changed FROM f""")
+def perturbed(spark, d):
+    docs = table(spark, d, "documents")
+    new = J.perturb(F.col("text"))
+    return docs.select("doc_id", F.md5(new).alias("hash"), F.col("text").rlike("[0-9]").alias("changed"))
+
+
+@query(f"WITH {CHUNKS}, w AS (SELECT unnest(regexp_extract_all(raw_text, '\\p{{L}}+')) AS word FROM chunks) SELECT word, count(*) AS n FROM w WHERE regexp_matches(word, '^\\p{{Ll}}') GROUP BY word")
+def lower_case_words(spark, d):
+    return J.lower_case_words(chunks(spark, d))
+
+
+DENSITY = f"{PAIRS}, density AS (SELECT vec_id AS id, CAST(coalesce(n, 0) AS BIGINT) AS density FROM embeddings LEFT JOIN (SELECT a, count(*) AS n FROM pairs WHERE sim > 0.1 GROUP BY a) ON a = vec_id)"
+
+
+def _density(spark, d):
+    return M.density(_pairs(spark, d), vectors(spark, d), 0.1)
+
+
+@query(f"WITH {DENSITY}, s AS (SELECT CAST(floor(('0x' || substr(md5('g:' || k || ':' || id), 1, 8))::UBIGINT / 4294967296.0::DOUBLE * 2000) AS BIGINT) AS set, density FROM density, range(3) r(k)) SELECT set, min(density) AS density FROM s GROUP BY set")
+def pseudo_gold_density(spark, d):
+    return J.pseudo_gold(_density(spark, d), 2000)
+
+
+@query(f"WITH {DENSITY}, m AS (SELECT median(density) AS median FROM density) SELECT id, density, CAST(least(greatest(0, round_even(median - density, 0)), 15) AS BIGINT) AS budget, density < 0.34::DOUBLE * median AS sparse FROM density, m")
+def injection_budget(spark, d):
+    return J.injection_budget(_density(spark, d))
+
+
+@query(f"""{BM25}, top AS (SELECT * FROM ranked WHERE rank <= 10), gold AS (SELECT b.item_id AS query_id, c.chunk_id FROM chunks c JOIN benchmark b ON contains(c.raw_text, b.text)),
+o AS (SELECT chunk_id, min(query_id) AS owner FROM gold GROUP BY chunk_id)
+SELECT t.query_id, count(g.query_id) AS own, CAST(sum(CASE WHEN g.query_id IS NULL AND owner IS NOT NULL THEN 1 ELSE 0 END) AS BIGINT) AS foreign FROM top t LEFT JOIN gold g ON g.query_id = t.query_id AND g.chunk_id = t.chunk_id LEFT JOIN o ON o.chunk_id = t.chunk_id GROUP BY t.query_id""")
+def isolation_hits(spark, d):
+    c, b = chunks(spark, d), bench(spark, d)
+    gold = c.select("chunk_id", "raw_text").join(R.small(b), F.contains("raw_text", "text")).select("query_id", "chunk_id")
+    return J.isolation(R.bm25(c, b).select("query_id", "chunk_id"), gold)
+
+
+@query("""WITH t AS (SELECT o_custkey AS grp, o_orderkey AS chunk, l_linenumber AS fact, row_number() OVER (PARTITION BY o_custkey, o_orderkey ORDER BY l_linenumber) AS turn FROM (SELECT DISTINCT o_custkey, o_orderkey, l_linenumber FROM orders JOIN lineitem ON o_orderkey = l_orderkey)),
+p AS (SELECT *, row_number() OVER (PARTITION BY grp ORDER BY turn, chunk) AS place FROM t) SELECT grp, chunk, fact, place FROM p WHERE place <= 5""")
+def round_robin_facts(spark, d):
+    o, li = table(spark, d, "orders"), table(spark, d, "lineitem")
+    facts = li.join(o, li.l_orderkey == o.o_orderkey).select(F.col("o_custkey").alias("grp"), F.col("o_orderkey").alias("chunk"), F.col("l_linenumber").alias("fact")).distinct()
+    return J.round_robin(facts, "grp", "chunk", "fact", 5).withColumn("place", F.col("place").cast("long"))
+
+
+@query(f"WITH {CHUNKS}, r AS (SELECT chunk_id, lang || '/' || source AS path, row_number() OVER (PARTITION BY lang || '/' || source ORDER BY length(raw_text) DESC, chunk_id) AS rn FROM chunks) SELECT chunk_id, path FROM r WHERE rn <= 8")
+def path_quota(spark, d):
+    rows = chunks(spark, d).select("chunk_id", F.concat_ws("/", "lang", "source").alias("path"), F.length("raw_text").alias("n"))
+    return X.ranked_quota(rows, "path", [F.desc("n"), F.col("chunk_id")], 8).select("chunk_id", "path")
