@@ -30,7 +30,8 @@ from pyspark.sql import types as T
 
 VOCABULARY = "/opt/tokenizers/byte_bpe_50k.tiktoken"
 PATTERN = r"'(?:[sdmt]|ll|ve|re)| ?\p{L}++| ?\p{N}++| ?[^\s\p{L}\p{N}]++|\s++$|\s+(?!\S)|\s"
-CACHE_WORDS = 600_000
+CACHE_WORDS = 300_000
+CACHE_PAIRS = 200_000
 
 
 def read_ranks(path: str = VOCABULARY) -> list[bytes]:
@@ -122,7 +123,7 @@ class Bpe:
                 pair = last[end - size] << 32 | token
                 ok = pairs.get(pair)
                 if ok is None:
-                    if len(pairs) > 500_000:
+                    if len(pairs) > CACHE_PAIRS:
                         pairs.clear()
                     ok = pairs[pair] = self.compatible(last[end - size], token)
                 if ok:
