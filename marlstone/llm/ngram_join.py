@@ -338,15 +338,21 @@ def _low_bytes(batches):
             yield pa.RecordBatch.from_arrays([batch.column(0), pa.array([x.tobytes() for x in low], pa.binary())], names=["d", "sig"])
 
 
-def components(pairs: DataFrame, max_rounds: int = 50) -> DataFrame:
-    """(d, root): the lowest doc_id connected with each document that is in a pair, by repeated hooking and pointer jumping."""
+def components(pairs: DataFrame) -> DataFrame:
+    """(d, root): the lowest doc_id connected with each document that is in a pair, by repeated hooking and pointer jumping.
+
+    A round lowers the label of each document, and of its old root, to the least label of a neighbour's root, and jumps
+    once. Rounds go on until one changes nothing: then every label is its own root and equal along every edge.
+    """
     edges = stash(pairs.select(F.col("doc_a").alias("a"), F.col("doc_b").alias("b")).unionByName(pairs.select(F.col("doc_b").alias("a"), F.col("doc_a").alias("b"))).distinct(), "edges")
     label = stash(edges.groupBy("a").agg(F.min("b").alias("m")).select(F.col("a").alias("d"), F.least("a", "m").alias("root")), "label")
-    for _ in range(max_rounds):
-        mine, theirs = label.select(F.col("d").alias("a"), F.col("root").alias("ra")), label.select(F.col("d").alias("b"), F.col("root").alias("rb"))
-        hooks = edges.join(theirs, "b").groupBy("a").agg(F.min("rb").alias("rb")).join(mine, "a").select("a", F.least("ra", "rb").alias("r"), "ra")
-        jump = label.select(F.col("d").alias("r"), F.col("root").alias("rr"))
-        new = stash(hooks.join(jump, "r", "left").select(F.col("a").alias("d"), F.least("r", F.coalesce("rr", "r")).alias("root"), F.col("ra").alias("old")), "label")
+    while True:
+        tops = label.select("d", "root").join(label.select(F.col("d").alias("root"), F.col("root").alias("top")), "root")
+        met = edges.join(tops.select(F.col("d").alias("b"), "top"), "b").groupBy("a").agg(F.min("top").alias("m"))
+        found = met.join(tops.withColumnRenamed("d", "a"), "a")
+        lower = F.array(F.struct(F.col("a").alias("d"), F.least("m", "top").alias("r"), F.col("root").alias("old")), F.struct(F.col("root").alias("d"), F.col("m").alias("r"), F.lit(None).cast("long").alias("old")))
+        hooks = found.select(F.inline(lower))
+        new = stash(hooks.groupBy("d").agg(F.min("r").alias("root"), F.max("old").alias("old")), "label")
         changed = not new.where("root <> old").isEmpty()
         drop_stash(label)
         label = new

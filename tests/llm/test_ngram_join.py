@@ -1,3 +1,4 @@
+import random
 import re
 
 import pytest
@@ -75,3 +76,12 @@ def test_components(spark):
     pairs = spark.createDataFrame([(i, i + 1, 1.0) for i in range(1, 30)] + [(100, 101, 1.0)], "doc_a long, doc_b long, jaccard double")
     got = dict(J.components(pairs).collect())
     assert got == {**{i: 1 for i in range(1, 31)}, 100: 100, 101: 100}
+
+
+def test_components_of_long_chains(spark):
+    shuffled, down = list(range(400)), [0, *range(299, 0, -1)]
+    random.Random(5).shuffle(shuffled)
+    links = [*zip(shuffled, shuffled[1:]), *((1000 + a, 1000 + b) for a, b in zip(down, down[1:]))]
+    pairs = spark.createDataFrame([(min(x), max(x), 1.0) for x in links], "doc_a long, doc_b long, jaccard double")
+    got = dict(J.components(pairs).collect())
+    assert got == {**dict.fromkeys(range(400), 0), **dict.fromkeys(range(1000, 1300), 1000)}
