@@ -3,7 +3,8 @@
 A candidate is reported only if its structure holds up:
 * signed token: three base64url parts whose first decodes to a JSON object with an "alg" text, whose second decodes to a
   JSON object, and whose third is empty only for alg "none";
-* key: base64 between key markers, or a bare base64 or hex run, that decodes to DER whose nested lengths fill
+* key: base64 between key markers, whose lines may be escaped, quoted or joined strings; or a bare base64 or hex run, on
+  one line or on several of which the first has 40 characters or more; that decodes to DER whose nested lengths fill
   the outer SEQUENCE exactly and whose members are those of a PKCS#1, PKCS#8, SEC1 or encrypted private key; or to an
   openssh-key-v1 container whose length-prefixed fields fill it;
 * access key id: a four-letter prefix and 16 base32 characters, which decode to 10 bytes (80 bits) without padding;
@@ -23,7 +24,9 @@ import base64
 import binascii
 import json
 import re
+from bisect import bisect_left
 from collections.abc import Iterator
+from itertools import accumulate
 
 import pyarrow as pa
 from pyspark.sql import DataFrame
@@ -31,8 +34,14 @@ from pyspark.sql import functions as F
 
 MIN_BYTES = 8
 JWT = re.compile(r"(?<![A-Za-z0-9_-])([A-Za-z0-9_-]{8,})\.([A-Za-z0-9_-]{2,})\.([A-Za-z0-9_-]*)")
-PEM = re.compile(r"-----BEGIN ([A-Z0-9 ]{0,40}PRIVATE KEY)-----([\sA-Za-z0-9+/=:,.-]*?)-----END \1-----")
-RUN = re.compile(r"(?<![A-Za-z0-9+/_-])[A-Za-z0-9+/]{40,}={0,2}")
+MARK = re.compile(r"-----(BEGIN|END) ([A-Z0-9 ]{0,40}PRIVATE KEY)-----")
+#: Where a run may begin: the letter of an escaped line break is no part of it.
+FIRST = r"(?:(?<![A-Za-z0-9+/_-])(?!(?<=\\)[nrt])|(?<=\\[nrt]))"
+RUN = re.compile(FIRST + r"[A-Za-z0-9+/]{40,}={0,2}")
+#: A line break, real or escaped, with the quote marks and signs around it that join or quote lines.
+BREAK = r"(?:[\"'`]?[ \t]*[+,\\]?[ \t]*\r?\n|(?:\\+[nr])+[\"'`]?[ \t]*[+,\\]?[ \t]*(?:\r?\n)?)[ \t>#*|\"'`]*"
+WRAPPED = re.compile(FIRST + r"[A-Za-z0-9+/]{40,}(?:" + BREAK + r"[A-Za-z0-9+/]+)+")
+LINE = re.compile(r"([A-Za-z0-9+/]+)(?:" + BREAK + r"|\Z)")
 KEY_ID = re.compile(r"(?<![A-Z0-9])((?:AKIA|ASIA|ABIA|ACCA)[A-Z2-7]{16})(?![A-Z0-9])")
 ASSIGNED = re.compile(r"(?i)(?<![a-z0-9])((?:[a-z0-9]+[_-])*(?:token|password|passwd|pwd|secret|api[_-]?key|access[_-]?key|private[_-]?key))[\"']?\s{0,3}(?::=|=>|[:=])\s{0,3}[\"']?([A-Za-z0-9+/_-]{12,}={0,2})")
 #: What Java looks for: a superset of the above.
@@ -145,6 +154,80 @@ def opaque(value: str) -> bool:
     return sum(32 <= b < 127 or b in b"\t\r\n" for b in raw) < 0.8 * len(raw)
 
 
+def marked(text: str) -> Iterator[tuple[int, int, str]]:
+    """(start, end, text between) of each key marker and the next one, if that is its end."""
+    begin = None
+    for m in MARK.finditer(text):
+        if m[1] == "END" and begin and begin[2] == m[2]:
+            yield begin.start(), m.end(), text[begin.end() : m.start()]
+        begin = m if m[1] == "BEGIN" else None
+
+
+def plain(body: str) -> str:
+    """Text between key markers without escapes, joined strings and the signs that quote a line."""
+    body = re.sub(r"\\+u([0-9A-Fa-f]{4})", lambda m: chr(int(m[1], 16)), body)
+    body = re.sub(r"\\+([rnt/])", lambda m: {"r": "\n", "n": "\n", "t": " ", "/": "/"}[m[1]], body)
+    body = re.sub(r"([\"'`])[ \t]*\+?\s*\+?[ \t]*(?=[\"'`])", "\n", body)
+    return re.sub(r"(?m)^[ \t]*(?:[>#*|\"'`]+[ \t]*)+|^[ \t]*//+[ \t]+", "", body)
+
+
+def key_size(data: bytes) -> int | None:
+    """The bytes that a key at the start of data says it has."""
+    if data.startswith(b"openssh-key-v1\0"):
+        at, left = 15, 3
+        while left:
+            at += 4 + int.from_bytes(data[at : at + 4], "big")
+            left -= 1
+            if at > len(data):
+                return None
+        left = int.from_bytes(data[at : at + 4], "big") + 1
+        at += 4
+        while left and at < len(data):
+            at += 4 + int.from_bytes(data[at : at + 4], "big")
+            left -= 1
+        return None if left else at
+    if len(data) < 6 or data[0] != 0x30:
+        return None
+    n = data[1] & 0x7F if data[1] & 0x80 else 0
+    if n > 4 or data[1] == 0x80:
+        return None
+    return 2 + n + (int.from_bytes(data[2 : 2 + n], "big") if n else data[1])
+
+
+def wrapped_keys(text: str, start: int, end: int) -> Iterator[tuple[int, int, str]]:
+    """(start, end, kind) of the keys in text[start:end], lines of base64 or hex: each begins with a line, and is as long
+    as its own lengths say."""
+    lines = [m.span(1) for m in LINE.finditer(text, start, end)]
+    joined = "".join(text[a:b] for a, b in lines)
+    begins = list(accumulate((b - a for a, b in lines), initial=0))
+    free = 0
+    for (a, _), at in zip(lines, begins):
+        if at < free:
+            continue
+        for mark, head, decode, size_of in (
+            ("M", 8, decode64, lambda n: (4 * n + 2) // 3),
+            ("b3BlbnNzaC1rZXktdjEA", (len(joined) - at) // 4 * 4, decode64, lambda n: (4 * n + 2) // 3),
+            ("30", 12, unhex, lambda n: 2 * n),
+        ):
+            if not joined.startswith(mark, at):
+                continue
+            size = key_size(decode(joined[at : at + head]) or b"")
+            stop = at + size_of(size) if size else len(joined) + 1
+            if stop > len(joined) or not (kind := key_kind(decode(joined[at:stop]) or b"")):
+                continue
+            i = bisect_left(begins, stop) - 1
+            last = lines[i][0] + stop - begins[i]
+            if last == lines[i][1]:
+                pad = re.compile("={0,2}").match(text, last).end()
+                yield a, pad, kind
+                free = stop
+                break
+
+
+def unhex(text: str) -> bytes | None:
+    return bytes.fromhex(text) if re.fullmatch(r"(?:[0-9a-fA-F]{2})+", text) else None
+
+
 def scan(text: str) -> list[tuple[int, int, str]]:
     """(start, end, kind) of every confirmed secret, in order."""
     found: list[tuple[int, int, str]] = []
@@ -155,11 +238,15 @@ def scan(text: str) -> list[tuple[int, int, str]]:
 
     for m in JWT.finditer(text):
         add(m.start(), m.end(), token_kind(*m.groups()))
-    for m in PEM.finditer(text):
-        body = re.sub(r"(?m)^[A-Za-z-]+:.*$", "", m[2]) if ":" in m[2] else m[2]
-        raw = decode64(re.sub(r"\s", "", body))
-        wrapped = ":" in m[2] and raw is not None and len(raw) >= 16 and len(raw) % 8 == 0
-        add(m.start(), m.end(), "encrypted_key" if wrapped else key_kind(raw or b""))
+    for start, end, inner in marked(text):
+        body = plain(inner)
+        bare = re.sub(r"(?m)^[A-Za-z-]+:.*$", "", body)
+        raw = decode64(re.sub(r"[\s\"'`\\,]", "", bare))
+        wrapped = bare != body and raw is not None and len(raw) >= 16 and len(raw) % 8 == 0
+        add(start, end, "encrypted_key" if wrapped else key_kind(raw or b""))
+    for m in WRAPPED.finditer(text):
+        for start, end, kind in wrapped_keys(text, m.start(), m.end()):
+            add(start, end, kind)
     for m in RUN.finditer(text):
         run = m[0].rstrip("=")
         raw = bytes.fromhex(run) if re.fullmatch(r"(?:[0-9a-fA-F]{2})+", run) else decode64(m[0])

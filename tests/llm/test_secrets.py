@@ -97,3 +97,37 @@ def test_edge_rows(spark):
     got = sorted(((r.doc_id or -1), r.start, r.kind) for r in S.secret_scan(docs).collect())
     assert got == [(-1, 0, "access_key_id"), (3, 50001, "signed_token"), (3, 50001, "signed_token")]
     assert S.secret_scan(docs.limit(0)).count() == 0
+
+
+LINES = [base64.b64encode(PKCS8).decode()[i : i + 64] for i in range(0, 4 * len(PKCS8) // 3 + 3, 64)]
+ENDS = "-----BEGIN PRIVATE KEY-----", "-----END PRIVATE KEY-----"
+WHOLE = [ENDS[0], *LINES, ENDS[1]]
+
+
+@pytest.mark.parametrize(
+    "text",
+    [
+        json.dumps({"private_key": "\n".join(WHOLE) + "\n"}),
+        json.dumps({"private_key": "\r\n".join(WHOLE)}).replace("/", "\\/").replace("=", "\\u003d"),
+        json.dumps(json.dumps({"private_key": "\n".join(WHOLE)})),
+        "KEY='" + "\\n".join(WHOLE) + "'",
+        "\n".join("> " + x for x in WHOLE),
+        "key = (" + "\n".join(f'    "{x}\\n"' for x in WHOLE) + ")",
+        " +\n".join(f'"{x}\\n"' for x in WHOLE),
+        "\n".join(LINES),
+        "\r\n".join("> " + x for x in LINES),
+        "\\n".join(["", *LINES]),
+        "\n".join([base64.b64encode(bytes(48)).decode(), *LINES]),
+        "\n".join([*LINES[:-1], LINES[-1].rstrip("=")]) + "\nmore\nwords",
+        "\n".join(SEC1.hex()[i : i + 64] for i in range(0, 2 * len(SEC1), 64)),
+        "\n".join(base64.encodebytes(SSH).decode().split()) + "\nmore",
+    ],
+)
+def test_keys_over_several_lines(text):
+    found = S.scan(f"some words {text} and more")
+    assert len(found) == 1 and found[0][2] in ("pkcs8_key", "sec1_key", "openssh_key")
+
+
+def test_cut_keys_over_several_lines():
+    for lines in (WHOLE[:-3] + WHOLE[-1:], LINES[:-1], LINES[1:]):
+        assert S.scan("\n".join(lines)) == [] and S.scan(json.dumps("\n".join(lines))) == []
