@@ -2,6 +2,9 @@
 
 from __future__ import annotations
 
+from collections.abc import Iterator
+
+import pyarrow as pa
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -39,26 +42,39 @@ def signature_edges(rows: DataFrame, k: int = 4, least: float = 0.8, n: int = 64
     return met.where(same >= least * n).select("a", "b")
 
 
-def keep_first(ids: DataFrame, edges: DataFrame, max_rounds: int = 100) -> DataFrame:
+def keep_first(ids: DataFrame, edges: DataFrame, in_one_task: int = 100_000) -> DataFrame:
     """Ids that a pass in order of id keeps when it drops whatever is joined to one kept before.
 
-    Rounds settle in parallel all ids without an undecided earlier neighbour; ids without edges never enter them. Each
-    round is checkpointed to the shared folder, so lineage doesn't grow.
+    Rounds settle in parallel all ids without an undecided earlier neighbour; ids without edges never enter them. They go on
+    until no edge joins two undecided ids (each settles the lowest at least); once at most in_one_task edges are left, one
+    task makes the pass over those. Each round is checkpointed to the shared folder, so lineage doesn't grow.
     """
-    open_ = edges.select(F.col("a").alias("id")).union(edges.select("b")).distinct()
-    undecided, left = open_, edges
+    kind = dict(edges.dtypes)["a"]
+    left = edges.where("a <> b").select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")).distinct().checkpoint()
     dropped = None
-    for _ in range(max_rounds):
-        waiting = left.select(F.col("b").alias("id")).distinct()
-        keep = undecided.join(waiting, "id", "left_anti")
-        out = left.join(keep.withColumnRenamed("id", "a"), "a").select(F.col("b").alias("id")).distinct().checkpoint()
+    while n := left.count():
+        if n <= in_one_task:
+            out = left.coalesce(1).sortWithinPartitions("b", "a").mapInArrow(_pass, f"id {kind}").checkpoint()
+            return ids.join(out if dropped is None else dropped.union(out), "id", "left_anti")
+        keep = left.select(F.col("a").alias("id")).distinct().join(left.select(F.col("b").alias("id")).distinct(), "id", "left_anti").checkpoint()
+        out = left.join(keep.withColumnRenamed("id", "a"), "a", "left_semi").select(F.col("b").alias("id")).distinct().checkpoint()
         dropped = out if dropped is None else dropped.union(out)
-        undecided = undecided.join(keep, "id", "left_anti").join(out, "id", "left_anti").checkpoint()
-        if undecided.isEmpty():
-            break
-        left = left.join(undecided.withColumnRenamed("id", "a"), "a", "left_semi").join(undecided.withColumnRenamed("id", "b"), "b", "left_semi")
+        left = left.join(keep.withColumnRenamed("id", "a"), "a", "left_anti").join(out.withColumnRenamed("id", "a"), "a", "left_anti").join(out.withColumnRenamed("id", "b"), "b", "left_anti").select("a", "b").checkpoint()
     return ids.join(dropped, "id", "left_anti") if dropped is not None else ids
 
 
+def _pass(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """The ids that edges sorted by b and a drop: what drops a comes before what a drops."""
+    dropped: dict = {}
+    kind = pa.null()
+    for batch in batches:
+        kind = batch.schema.field("b").type
+        for a, b in zip(batch.column("a").to_pylist(), batch.column("b").to_pylist()):
+            if a not in dropped:
+                dropped[b] = None
+    if dropped:
+        yield pa.RecordBatch.from_arrays([pa.array(list(dropped), kind)], names=["id"])
+
+
 def first_of_each(rows: DataFrame, key: str, order: str) -> DataFrame:
     return rows.withColumn("rn", F.row_number().over(Window.partitionBy(key).orderBy(order))).where("rn = 1").drop("rn")

@@ -135,6 +135,23 @@ def test_keep_first_is_no_component(spark):
     assert sorted(r.id for r in got.collect()) == [1, 3, 5]
 
 
+@pytest.mark.parametrize("limit", [100_000, 40])
+def test_keep_first_equals_the_plain_loop(spark, limit):
+    """A chain of 300 ids, beside random edges that rounds settle first."""
+    rng = random.Random(3)
+    loose = [tuple(sorted(rng.sample(range(1000, 1060), 2))) for _ in range(90)]
+    links = [(i, i + 1) for i in range(300 if limit > 1000 else 30)] + loose
+    n, near, want = 1060, {}, []
+    for a, b in links:
+        near.setdefault(b, set()).add(a)
+    for i in range(n):
+        if not near.get(i, set()) & set(want):
+            want.append(i)
+    ids, edges = spark.range(n), spark.createDataFrame(links, "a long, b long")
+    got = L.with_checkpoints(spark, lambda: D.keep_first(ids, edges, limit))
+    assert sorted(r.id for r in got.collect()) == want
+
+
 CARDS = [("1", "North", 2021, "10.5", "2021-03-04"), ("2", "north ", 2022, "200", "2022-12-30"), ("3", None, 2022, "", "2022-01-02"), ("4", "South", 2023, "x", None)]
 KINDS = {"number": "cat", "region": "cat", "year": "num", "price": "num_text", "published": "date"}
 
