@@ -7,6 +7,9 @@ import uuid
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
+
+BROADCAST_BYTES = 32 << 20
 
 
 def documents(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -14,24 +17,46 @@ def documents(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def shared_dir(spark: SparkSession) -> str:
-    """The folder all executors share: spark.checkpoint.dir, set to a local one only where it is unset."""
+    """The folder all executors share: spark.checkpoint.dir. Only a local master, whose executor is this machine, gets a
+    folder of its own where the setting is missing; a cluster without it is an error."""
     named = spark.conf.get("spark.checkpoint.dir", None)
     if not named:
         sc = spark.sparkContext
         named = sc.getCheckpointDir()
         if not named:
+            if not (sc.master == "local" or sc.master.startswith("local[")):
+                raise RuntimeError("spark.checkpoint.dir has to name a folder that all executors share")
             named = "file://" + tempfile.mkdtemp(prefix="marlstone-")
             sc.setCheckpointDir(named)
     return named.rstrip("/")
 
 
+def scratch(spark: SparkSession, tag: str) -> str:
+    """A new path in the shared folder, removed at the end of the application if nothing removed it before."""
+    path = f"{shared_dir(spark)}/{tag}-{uuid.uuid4().hex}"
+    jpath, fs = _file_system(spark, path)
+    fs.deleteOnExit(jpath)
+    return path
+
+
+def remove(spark: SparkSession, path: str) -> None:
+    jpath, fs = _file_system(spark, path)
+    fs.delete(jpath, True)
+    fs.cancelDeleteOnExit(jpath)
+
+
+def _file_system(spark: SparkSession, path: str):
+    jpath = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
+    return jpath, jpath.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
+
+
 def stash(df: DataFrame, tag: str) -> DataFrame:
     """df written to the shared folder and read back: its lineage ends at files that outlive any executor.
 
     The shuffle files of the write go as soon as it is done; nothing reads them again.
     """
     spark = df.sparkSession
-    path = f"{shared_dir(spark)}/{tag}-{uuid.uuid4().hex}"
+    path = scratch(spark, tag)
     cleanup = "spark.sql.classic.shuffleDependency.fileCleanup.enabled"
     before = spark.conf.get(cleanup, None)
     spark.conf.set(cleanup, "true")
@@ -44,17 +69,26 @@ def stash(df: DataFrame, tag: str) -> DataFrame:
     return out
 
 
-def drop_stash(df: DataFrame) -> None:
-    """Removes the files of a stash that no later plan reads."""
-    spark = df.sparkSession
-    jvm = spark.sparkContext._jvm
-    path = jvm.org.apache.hadoop.fs.Path(df._stash_path)
-    path.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(path, True)
+def drop_stash(*frames: DataFrame) -> None:
+    """Removes the files of stashes that no later plan reads."""
+    for df in frames:
+        remove(df.sparkSession, df._stash_path)
+
+
+def _width(col, kind: T.DataType):
+    """Bytes that a value takes as a row in memory, as a column."""
+    if isinstance(kind, (T.StringType, T.BinaryType)):
+        return F.lit(16) + F.coalesce(F.octet_length(col), F.lit(0))
+    if isinstance(kind, T.ArrayType):
+        return F.lit(24) + 8 * F.coalesce(F.greatest(F.size(col), F.lit(0)), F.lit(0))
+    return F.lit(16)
 
 
-def broadcast_if_small(df: DataFrame, rows: int, limit: int = 100_000) -> DataFrame:
-    """Broadcasts a side whose counted rows stay within limit; beyond it the join shuffles."""
-    return F.broadcast(df) if rows <= limit else df
+def broadcast_if_small(df: DataFrame, limit: int = BROADCAST_BYTES) -> DataFrame:
+    """Broadcasts a written side whose rows come to at most limit bytes, as measured; beyond it the join shuffles."""
+    size = sum((_width(F.col(f.name), f.dataType) for f in df.schema.fields), F.lit(16))
+    held = df.agg(F.coalesce(F.sum(size), F.lit(0))).first()[0]
+    return F.broadcast(df) if held <= limit else df
 
 
 def unit_hash(key, seed: int):

@@ -19,7 +19,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from .common import broadcast_if_small, unit_hash
+from .common import broadcast_if_small, stash, unit_hash
 
 SEED = 17
 
@@ -50,8 +50,7 @@ def source_epochs(docs: DataFrame, weights: dict[str, float] | None = None, max_
 
 
 def _copies(docs: DataFrame, seed: int, **how) -> DataFrame:
-    epochs = source_epochs(docs, **how)
-    epochs = broadcast_if_small(epochs, docs.select("source").distinct().count())
+    epochs = broadcast_if_small(stash(source_epochs(docs, **how), "epochs"))
     rows = docs.select(F.struct("*").alias("r"))
     joined = rows.join(epochs, F.col("r.source").eqNullSafe(F.col("s")))
     whole = F.floor("epochs")

@@ -5,11 +5,13 @@ from __future__ import annotations
 import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
+import xxhash
 
 MASK = (1 << 64) - 1
 P = 0x9E3779B97F4A7C15 | 1
 P_INV = pow(P, -1, 1 << 64)
 CHUNK = 1 << 21
+BLOCK = 1 << 20
 
 _table = np.random.Generator(np.random.PCG64(20240607)).integers(1, MASK, 256, dtype=np.uint64)
 _word = np.zeros(256, bool)
@@ -52,12 +54,42 @@ def chunks(texts: pa.Array, size: int = CHUNK):
         yield at, len(lengths)
 
 
+def _spaced(low: pa.Array) -> pa.Array:
+    """Text with a space for every separator, mark and sign beyond ASCII, and around every character of a script that is
+    written without spaces."""
+    data = np.frombuffer(low.buffers()[2], np.uint8) if low.buffers()[2] is not None else np.zeros(0, np.uint8)
+    heads = np.bincount(data, minlength=256) if len(data) < BLOCK else sum(np.bincount(data[i : i + BLOCK], minlength=256) for i in range(0, len(data), BLOCK))
+    if heads[0xC2] or heads[0xE0:0xF8].any():
+        low = pc.replace_substring_regex(low, r"[\p{Z}\p{P}\p{S}\p{Cc}]", " ")
+    if heads[0xE0:0xF8].any():
+        low = pc.replace_substring_regex(low, r"([\p{Han}\p{Hiragana}\p{Katakana}\p{Thai}\p{Lao}\p{Khmer}\p{Myanmar}])", r" \1 ")
+    return low
+
+
+def _cuts(inside: np.ndarray) -> list[int]:
+    """Ends of blocks of about BLOCK bytes that part no word; a longer word lies in a block that is longer."""
+    n, out, at = len(inside), [], 0
+    while n - at > BLOCK:
+        gaps = np.flatnonzero(~inside[at + 1 : at + BLOCK])
+        if len(gaps):
+            at += 1 + int(gaps[-1])
+        else:
+            step = at + BLOCK
+            while step < n and not len(gaps := np.flatnonzero(~inside[step : step + BLOCK])):
+                step += BLOCK
+            at = step + int(gaps[0]) if step < n else n
+        out.append(at)
+    return [*out, n] if not out or out[-1] < n else out
+
+
 def words(texts: pa.Array, prefixes: tuple[int, ...] = ()):
     """(hash of every word in order, offsets of the rows' words, and if prefixes are given a matrix of the hashes of the
-    words' first so many bytes, 0 where the word has no more). A word is a maximal run of ASCII letters and digits
-    and of characters beyond ASCII, in lower case; a null text has none."""
+    words' first so many bytes, 0 where the word has no more). A word is a maximal run, in lower case, of ASCII letters
+    and digits and of characters beyond ASCII that are no separator, mark or sign; each character of a script without
+    spaces (Han, Kana, Thai, Lao, Khmer, Burmese) is a word. A null text has none. Only about BLOCK bytes of text are
+    spread into numbers at a time, however long a text is."""
     low = pc.utf8_lower(pc.fill_null(texts.cast(pa.large_string()), ""))
-    low = pa.concat_arrays([low])
+    low = pa.concat_arrays([_spaced(pa.concat_arrays([low]))])
     offsets = np.frombuffer(low.buffers()[1], np.int64)[low.offset : low.offset + len(low) + 1]
     first, last = int(offsets[0]), int(offsets[-1])
     n = last - first
@@ -67,6 +99,7 @@ def words(texts: pa.Array, prefixes: tuple[int, ...] = ()):
     data = np.frombuffer(low.buffers()[2], np.uint8)[first:last]
     offsets = offsets - first
     inside = _word[data]
+    # A row's end parts words as a space does.
     begins = inside.copy()
     begins[1:] &= ~inside[:-1]
     heads = offsets[:-1][offsets[:-1] < n]
@@ -76,18 +109,33 @@ def words(texts: pa.Array, prefixes: tuple[int, ...] = ()):
     tails = offsets[1:][offsets[1:] > 0] - 1
     ends[tails] = inside[tails]
     s, e = np.flatnonzero(begins), np.flatnonzero(ends) + 1
-    up, down = _powers(n + 1)
-    sums = np.zeros(n + 1, np.uint64)
-    np.cumsum(_table[data] * up[:n], out=sums[1:])
-    whole, starts = mix((sums[e] - sums[s]) * down[s]), np.searchsorted(s, offsets).astype(np.int64)
-    if not prefixes:
-        return whole, starts
+    whole = np.empty(len(s), np.uint64)
     heads = np.zeros((len(s), len(prefixes)), np.uint64)
-    for j, k in enumerate(prefixes):
-        longer = np.flatnonzero(e - s > k)
-        at = s[longer]
-        heads[longer, j] = mix((sums[at + k] - sums[at]) * down[at] + np.uint64(k))
-    return whole, starts, heads
+    cuts = _cuts(inside)
+    at = 0
+    for a, b in zip([0, *cuts], cuts):
+        stop = int(np.searchsorted(s, b))
+        if stop == at:
+            continue
+        x, y = s[at:stop] - a, e[at:stop] - a
+        short = np.flatnonzero(y - x <= BLOCK)
+        for i in np.flatnonzero(y - x > BLOCK):
+            whole[at + i] = xxhash.xxh64_intdigest(data[a + x[i] : a + y[i]].tobytes())
+            for j, k in enumerate(prefixes):
+                heads[at + i, j] = mix((_table[data[a + x[i] : a + x[i] + k]] * _powers(k)[0][:k]).sum(keepdims=True) + np.uint64(k))[0]
+        if len(short):
+            up, down = _powers(b - a + 1)
+            sums = np.zeros(b - a + 1, np.uint64)
+            np.cumsum(_table[data[a:b]] * up[: b - a], out=sums[1:])
+            x, y = x[short], y[short]
+            whole[at + short] = mix((sums[y] - sums[x]) * down[x])
+            for j, k in enumerate(prefixes):
+                longer = np.flatnonzero(y - x > k)
+                z = x[longer]
+                heads[at + short[longer], j] = mix((sums[z + k] - sums[z]) * down[z] + np.uint64(k))
+        at = stop
+    starts = np.searchsorted(s, offsets).astype(np.int64)
+    return (whole, starts, heads) if prefixes else (whole, starts)
 
 
 def grams(hashes: np.ndarray, offsets: np.ndarray, n: int) -> tuple[np.ndarray, np.ndarray]:
