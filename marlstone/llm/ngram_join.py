@@ -1,22 +1,30 @@
 """N-gram Jaccard self-join by chosen paths.
 
-Every document is the set of its word n-grams. A run splits the sets recursively: a set is embedded as t MinHash tokens,
+Every document is the set of its word n-grams. A run splits the sets recursively: a set is embedded as T MinHash tokens,
 and follows, from each node it is in, the tokens that a seeded hash of (node, token) samples with probability
-1 / (lambda t); sets that sample the same tokens share a node. Similar sets share many tokens and so go down together;
-others part. A node of at most `bucket` sets, one that its parent's sets all but fill, or one at the last
-level is compared by brute force. Runs are repeated until a pair at the threshold is met with the target recall. Pairs
-whose sketches come near the threshold are verified exactly on the whole sets, shipped once per node.
-
-Only nodes with two sets or more go on, so a corpus without near copies is done after the first level. A node of
-more than BLOCK sets is compared in blocks by many tasks; no node, set or number of partners is cut off.
+1 / (lambda T); sets that sample the same tokens share a node. Similar sets share many tokens and so go down together;
+others part. A node goes on being split until it has at most `bucket` sets, or until no token parts it: it holds
+nine tenths of its parent's sets. Such a node is a leaf, and its sets are compared by brute force. Runs are repeated
+until a pair at the threshold is met, `levels` levels down, with the target recall. Pairs whose sketches come near the
+threshold are verified exactly on the whole sets.
+
+What leaves a leaf grows with its sets, not with its pairs: each set's number of links, and a spanning forest of the
+links. So that a pair which several leaves hold counts once, sets carry the list of their leaves, and a pair is
+left to the first leaf that both are in. Leaves are compared in blocks by many tasks (by rows for sketches, by
+bytes for whole sets); no node, set or number of partners is cut off. Node sizes are counted by partial sums and
+joined back, where adaptive execution splits the rows of a hot node.
 
 Defined cases
+* The result has one row for each document with a link: class_id, the lowest doc_id that links connect it with, and
+  links, the number of other documents at the threshold or above. Documents without a link have no row.
+* Equal sets are compared once and counted as often as documents have them, at Jaccard 1.
+* A document is a pair of doc_id and text: rows equal in both are one document, and give one row; rows that share a
+  doc_id and differ in text are documents of their own, whose links count apart.
 * Documents with fewer words than n are one n-gram, the whole of it; documents without words (null, empty or
-  only punctuation) and rows with a null doc_id match nothing.
-* Equal sets are joined as one: each further document with that set is paired with the lowest doc_id that has it, at
-  Jaccard 1, and further pairs name the lowest doc_id. So a group of k copies costs k - 1 rows, and the rows of
-  the result connect exactly the documents that the full list of pairs would connect.
-* Repeated rows (equal doc_id) never pair with themselves. Very long texts count whole. Extra columns are ignored.
+  only punctuation) and rows with a null doc_id match nothing. See textvec.words for what a word is.
+* doc_id may be of any type that can be ordered. Texts of any length count whole. Extra columns are ignored. An empty
+  table gives an empty result. Set ids are 64-bit hashes of 128-bit ones: n different sets confuse two with
+  probability n^2 / 2^65.
 """
 
 from __future__ import annotations
@@ -26,7 +34,7 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from . import textvec as tv
@@ -34,6 +42,7 @@ from .common import broadcast_if_small, drop_stash, stash
 
 T = 64
 BLOCK = 4096
+BLOCK_BYTES = 16 << 20
 _rng = np.random.Generator(np.random.PCG64(7))
 _MULT = _rng.integers(1, tv.MASK, T, dtype=np.uint64) | np.uint64(1)
 _ADD = _rng.integers(1, tv.MASK, T, dtype=np.uint64)
@@ -78,7 +87,7 @@ def sketches(g: np.ndarray, o: np.ndarray) -> np.ndarray:
 def _features(n: int):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            texts = batch.column(1)
+            texts = batch.column(2)
             for a, b in tv.chunks(texts):
                 g, o = gram_sets(texts.slice(a, b - a), n)
                 some = np.flatnonzero(np.diff(o) > 0)
@@ -91,11 +100,12 @@ def _features(n: int):
                 yield pa.RecordBatch.from_arrays(
                     [
                         batch.column(0).slice(a, b - a).take(pa.array(some)),
+                        batch.column(1).slice(a, b - a).take(pa.array(some)),
                         pa.array(f1.view(np.int64)),
                         pa.array(f2.view(np.int64)),
                         pa.array([x.tobytes() for x in sig], pa.binary()),
                     ],
-                    names=["d", "f1", "f2", "sig"],
+                    names=["k", "d", "f1", "f2", "sig"],
                 )
 
     return run
@@ -128,7 +138,7 @@ def _first_level(runs: int, lam: float):
                 for seed in seeds:
                     node = tv.mix(tokens ^ seed)
                     row, col = np.nonzero(tv.mix(node + _SALT) < limit)
-                    yield pa.RecordBatch.from_arrays([pa.array(node[row, col].view(np.int64)), pa.array(d[row])], names=["node", "d"])
+                    yield pa.RecordBatch.from_arrays([pa.array(node[row, col].view(np.int64)), pa.array(d[row]), pa.array(np.zeros(len(row), np.int64))], names=["node", "s", "above"])
 
     return run
 
@@ -145,7 +155,7 @@ def _next_level(lam: float):
                 parent, d, size = (part.column(i).to_numpy() for i in range(3))
                 node = tv.mix(_tokens(_signatures(part.column(3))) ^ tv.mix(parent.view(np.uint64) + np.uint64(1))[:, None])
                 row, col = np.nonzero(tv.mix(node + _SALT) < limit)
-                yield pa.RecordBatch.from_arrays([pa.array(node[row, col].view(np.int64)), pa.array(d[row]), pa.array(size[row])], names=["node", "d", "above"])
+                yield pa.RecordBatch.from_arrays([pa.array(node[row, col].view(np.int64)), pa.array(d[row]), pa.array(size[row])], names=["node", "s", "above"])
 
     return run
 
@@ -175,46 +185,60 @@ def _groups(batches: Iterator[pa.RecordBatch], keys: int) -> Iterator[pa.Table]:
         yield pa.Table.from_batches(held)
 
 
+def _met(starts: np.ndarray, ends: np.ndarray, node, x, y, part, sig: np.ndarray, leaves: pa.ListArray, least: int):
+    """(i, j) index arrays of the pairs of rows, within groups [start, end), that are to be compared in their node: sketches
+    agree in at least `least` places, the parts are those of the group's block, and no earlier leaf holds both."""
+    offsets = leaves.offsets.to_numpy()
+    count = np.diff(offsets)
+    width = max(1, int(count.max()) if len(count) else 1)
+    mine = np.full((len(node), width), np.iinfo(np.int64).max)
+    mine[np.repeat(np.arange(len(node)), count), np.arange(int(count.sum())) - np.repeat(np.cumsum(count) - count, count)] = leaves.values.to_numpy()[offsets[0] : offsets[-1]]
+    end_of = np.repeat(ends, ends - starts)
+    rows = np.arange(len(node))
+    k = 1
+    while len(rows := rows[rows + k < end_of[rows]]):
+        for at in range(0, len(rows), 16384):
+            i = rows[at : at + 16384]
+            j = i + k
+            hit = (sig[i] == sig[j]).sum(1) >= least
+            hit &= (x[i] == y[i]) | (part[i] != part[j])
+            i, j = i[hit], j[hit]
+            if len(i):
+                own = np.zeros(len(i), bool)
+                for c in range(0, len(i), 2048):
+                    p, q = mine[i[c : c + 2048]], mine[j[c : c + 2048]]
+                    both = (p[:, :, None] == q[:, None, :]).any(2) & (p < node[i[c : c + 2048], None])
+                    own[c : c + 2048] = ~both.any(1)
+                if own.any():
+                    yield i[own], j[own]
+        k += 1
+
+
+def _bounds(*keys: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Starts and ends of the runs of equal keys."""
+    new = np.ones(len(keys[0]), bool)
+    new[1:] = np.logical_or.reduce([k[1:] != k[:-1] for k in keys])
+    starts = np.flatnonzero(new)
+    return starts, np.append(starts[1:], len(keys[0]))
+
+
 def _compare(least: int):
-    """Pairs within each sorted node whose sketches agree in at least `least` places."""
+    """The sets of each node that a pair to be verified has."""
 
     def run(batches):
         for table in _groups(batches, 3):
-            node, x, y, d, part = (table.column(i).to_numpy() for i in range(5))
+            table = table.combine_chunks()
+            node, x, y, s, part = (table.column(i).to_numpy() for i in range(5))
             sig = np.frombuffer(b"".join(table.column(5).to_pylist()), np.uint8).reshape(-1, T)
-            new = np.ones(len(node), bool)
-            new[1:] = (node[1:] != node[:-1]) | (x[1:] != x[:-1]) | (y[1:] != y[:-1])
-            starts = np.flatnonzero(new)
-            ends = np.append(starts[1:], len(node))
-            end_of = np.repeat(ends, ends - starts)
-            rows = np.arange(len(node))
-            found: list[tuple[np.ndarray, np.ndarray]] = []
-            k, size = 1, 0
-            while len(rows := rows[rows + k < end_of[rows]]):
-                for at in range(0, len(rows), 16384):
-                    i = rows[at : at + 16384]
-                    j = i + k
-                    hit = (sig[i] == sig[j]).sum(1) >= least
-                    hit &= (x[i] == y[i]) | (part[i] != part[j])
-                    hit &= d[i] != d[j]
-                    if hit.any():
-                        found.append((i[hit], j[hit]))
-                        size += int(hit.sum())
-                k += 1
-                if size > 200_000:
-                    yield _pairs(found, node, d)
-                    found, size = [], 0
-            if found:
-                yield _pairs(found, node, d)
+            wanted = np.zeros(len(node), bool)
+            for i, j in _met(*_bounds(node, x, y), node, x, y, part, sig, table.column(6).chunk(0), least):
+                wanted[i] = wanted[j] = True
+            at = np.flatnonzero(wanted)
+            yield pa.RecordBatch.from_arrays([pa.array(node[at]), pa.array(s[at])], names=["node", "s"])
 
     return run
 
 
-def _pairs(found, node, d) -> pa.RecordBatch:
-    i, j = (np.concatenate(z) for z in zip(*found))
-    return pa.RecordBatch.from_arrays([pa.array(np.minimum(d[i], d[j])), pa.array(np.maximum(d[i], d[j])), pa.array(node[i])], names=["a", "b", "node"])
-
-
 def _sets(n: int):
     def run(batches):
         for batch in batches:
@@ -222,120 +246,147 @@ def _sets(n: int):
             for a, b in tv.chunks(texts):
                 g, o = gram_sets(texts.slice(a, b - a), n)
                 raw = g.tobytes()
-                yield pa.RecordBatch.from_arrays([batch.column(0).slice(a, b - a), pa.array([raw[8 * o[i] : 8 * o[i + 1]] for i in range(b - a)], pa.binary())], names=["d", "grams"])
+                yield pa.RecordBatch.from_arrays([batch.column(0).slice(a, b - a), pa.array([raw[8 * o[i] : 8 * o[i + 1]] for i in range(b - a)], pa.binary())], names=["s", "grams"])
 
     return run
 
 
-def _verify(threshold: float):
-    """Rows come sorted by node, a node's sets before its pairs; the sets of one node are held at a time."""
-
-    def solve(ids, sets, left, right):
-        at = {d: i for i, d in enumerate(ids)}
-        sizes = np.array([len(s) // 8 for s in sets])
-        flat = np.frombuffer(b"".join(sets), np.uint64)
-        _, code = np.unique(flat, return_inverse=True)
-        offsets = np.append(0, np.cumsum(sizes))
-        mark = np.zeros(int(code.max()) + 1 if len(code) else 1, bool)
-        pairs: dict[int, list[int]] = {}
-        for a, b in zip(left, right):
-            i, j = at.get(a), at.get(b)
-            if i is not None and j is not None:
-                pairs.setdefault(i, []).append(j)
-        out_a, out_b, out_j = [], [], []
-        for i, others in pairs.items():
-            mine = code[offsets[i] : offsets[i + 1]]
-            mark[mine] = True
-            o = np.array(others)
-            if len(o) == 1:
-                both = np.array([mark[code[offsets[o[0]] : offsets[o[0] + 1]]].sum()])
-            else:
-                both = np.add.reduceat(np.append(mark[np.concatenate([code[offsets[j] : offsets[j + 1]] for j in others])], False).astype(np.int64), np.append(0, np.cumsum(sizes[o])[:-1]))
-            mark[mine] = False
-            score = both / (sizes[i] + sizes[o] - both)
-            ok = score >= threshold
-            out_a += [ids[i]] * int(ok.sum())
-            out_b += [ids[j] for j in o[ok]]
-            out_j += score[ok].tolist()
-        return pa.RecordBatch.from_arrays([pa.array(out_a, pa.int64()), pa.array(out_b, pa.int64()), pa.array(out_j, pa.float64())], names=["doc_a", "doc_b", "jaccard"])
+def _verify(threshold: float, least: int):
+    """(s, root, links): by set of each block, what it is joined with there and the documents that it is linked with."""
+
+    def solve(table: pa.Table) -> pa.RecordBatch:
+        node, x, y, s, part, copies = (table.column(i).to_numpy() for i in range(6))
+        sig = np.frombuffer(b"".join(table.column(6).to_pylist()), np.uint8).reshape(-1, T)
+        found = list(_met(np.array([0]), np.array([len(s)]), node, x, y, part, sig, table.column(7).chunk(0), least))
+        links, label = np.zeros(len(s), np.int64), np.arange(len(s))
+        if found:
+            i, j = (np.concatenate(z) for z in zip(*found))
+            order = np.argsort(i, kind="stable")
+            i, j = i[order], j[order]
+            sets = table.column(8).to_pylist()
+            sizes = np.array([len(b) // 8 for b in sets])
+            _, code = np.unique(np.frombuffer(b"".join(sets), np.uint64), return_inverse=True)
+            offsets = np.append(0, np.cumsum(sizes))
+            mark = np.zeros(int(code.max()) + 1, bool)
+            for a, b in zip(*_bounds(i)):
+                own, o = i[a], j[a:b]
+                mine = code[offsets[own] : offsets[own + 1]]
+                mark[mine] = True
+                both = np.array([np.count_nonzero(mark[code[offsets[k] : offsets[k + 1]]]) for k in o])
+                mark[mine] = False
+                o = o[both >= threshold * (sizes[own] + sizes[o] - both) - 1e-12]
+                if len(o):
+                    links[own] += copies[o].sum()
+                    links[o] += copies[own]
+                    joined = np.unique(np.append(label[o], label[own]))
+                    if len(joined) > 1:
+                        label[np.isin(label, joined)] = joined[0]
+        at = np.flatnonzero(links)
+        return pa.RecordBatch.from_arrays([pa.array(s[at]), pa.array(s[label[at]]), pa.array(links[at])], names=["s", "root", "links"])
 
     def run(batches):
-        node, ids, sets, left, right = None, [], [], [], []
-        for batch in batches:
-            for key, a, b, grams in zip(*(batch.column(i).to_pylist() for i in (0, 1, 2, 3))):
-                if key != node:
-                    if left:
-                        yield solve(ids, sets, left, right)
-                    node, ids, sets, left, right = key, [], [], [], []
-                if b is None:
-                    ids.append(a)
-                    sets.append(grams)
-                else:
-                    left.append(a)
-                    right.append(b)
-        if left:
-            yield solve(ids, sets, left, right)
+        for table in _groups(batches, 3):
+            starts, ends = _bounds(*(table.column(i).to_numpy() for i in range(3)))
+            for a, b in zip(starts, ends):
+                if b - a > 1:
+                    yield solve(table.slice(a, b - a).combine_chunks())
 
     return run
 
 
-def ngram_jaccard_join(docs: DataFrame, n: int = 3, threshold: float = 0.5, recall: float = 0.97, levels: int = 4, bucket: int = 64, slack: float = 0.15) -> DataFrame:
-    """(doc_a, doc_b, jaccard) with doc_a < doc_b and jaccard >= threshold."""
-    base = docs.select(F.col("doc_id").cast("long").alias("d"), F.col("text").alias("t")).where("d IS NOT NULL")
-    sets = stash(base.mapInArrow(_features(n), "d long, f1 long, f2 long, sig binary"), "grams")
-    firsts = stash(sets.groupBy("f1", "f2").agg(F.min("d").alias("d"), F.first("sig").alias("sig")), "sets")
-    copies = (
-        sets.select("d", "f1", "f2").distinct()
-        .join(firsts.select("f1", "f2", F.col("d").alias("r")), ["f1", "f2"])
-        .where("d <> r")
-        .select(F.col("r").alias("doc_a"), F.col("d").alias("doc_b"), F.lit(1.0).alias("jaccard"))
-    )
-    lone = firsts.select("d", "sig")
-
-    runs = runs_for(recall, levels)
-    count = F.count("*").over(Window.partitionBy("node"))
-    nodes = lone.mapInArrow(_first_level(runs, threshold), "node long, d long").withColumn("above", F.lit(0).cast("long"))
-    leaves = None
-    for level in range(1, levels + 1):
-        nodes = stash(nodes.withColumn("c", count).where("c > 1"), f"level{level}")
+def _blocks(rows: DataFrame, parts) -> DataFrame:
+    """rows once for every pair of parts (x <= y) of their node that they belong to."""
+    placed = rows.withColumn("parts", parts.cast("int")).withColumn("part", F.pmod(F.xxhash64("s"), F.col("parts")).cast("int"))
+    placed = placed.withColumn("o", F.explode(F.sequence(F.lit(0), F.col("parts") - 1)))
+    return placed.withColumn("x", F.least("part", "o")).withColumn("y", F.greatest("part", "o")).drop("o", "parts")
+
+
+def _sharing(rows: DataFrame, tag: str) -> DataFrame:
+    """(node, s, above, c) of the rows whose node holds c > 1 sets."""
+    held = stash(rows, tag)
+    sizes = held.groupBy("node").agg(F.count("*").alias("c")).where("c > 1")
+    out = stash(held.join(sizes, "node").select("node", "s", "above", "c"), f"{tag}-shared")
+    drop_stash(held)
+    return out
+
+
+def _links(sets: DataFrame, texts: DataFrame, n: int, threshold: float, recall: float, levels: int, bucket: int, slack: float) -> DataFrame:
+    """(s, root, links), a few rows a set: the links and a spanning forest of the pairs of different sets.
+
+    sets: (s, sig, copies, k) with the key k of a row that has the set; texts: (k, t).
+    """
+    lone = sets.select("s", "sig")
+    nodes = lone.mapInArrow(_first_level(runs_for(recall, levels), threshold), "node long, s long, above long")
+    leaves, held, level = None, [], 1
+    while True:
+        nodes = _sharing(nodes, f"level{level}")
+        held.append(nodes)
         small = F.col("c") <= bucket
         if level > 1:
             small = small | (F.col("c") >= 0.9 * F.col("above"))
-        if level == levels:
-            small = F.lit(True)
-        done = nodes.where(small).select("node", "d", "c")
+        done = nodes.where(small).select("node", "s", "c")
         leaves = done if leaves is None else leaves.unionByName(done)
-        if level == levels:
-            break
         open_ = nodes.where(~small)
         if open_.isEmpty():
             break
-        nodes = open_.select("node", "d", "c").join(lone, "d").select("node", "d", "c", "sig").mapInArrow(_next_level(threshold), "node long, d long, above long")
-
-    blocks = F.ceil(F.col("c") / BLOCK).cast("int")
-    small_sig = lone.mapInArrow(_low_bytes, "d long, sig binary")
-    placed = leaves.join(small_sig, "d").withColumn("part", F.when(F.col("c") > BLOCK, F.pmod(F.xxhash64("d"), blocks)).otherwise(0).cast("int"))
-    placed = placed.select("node", "d", "sig", "part", F.explode(F.sequence(F.lit(0), blocks - 1)).alias("o"))
-    placed = placed.select("node", F.least("part", "o").alias("x"), F.greatest("part", "o").alias("y"), "d", "part", "sig")
-    sorted_ = placed.repartition("node", "x", "y").sortWithinPartitions("node", "x", "y")
+        nodes = open_.select("node", "s", "c").join(lone, "s").select("node", "s", "c", "sig").mapInArrow(_next_level(threshold), "node long, s long, above long")
+        level += 1
+
+    # A set is in as many leaves as its paths end in: a number that runs and levels bound, not the corpus.
+    paths = leaves.groupBy("s").agg(F.sort_array(F.collect_list("node")).alias("leaves"))
+    paths = stash(paths.join(sets.mapInArrow(_low_bytes, "s long, sig binary, copies long, k long"), "s"), "paths")
     least = math.ceil((threshold - slack) * T)
-    met = sorted_.mapInArrow(_compare(least), "a long, b long, node long")
-    pairs = stash(met.groupBy("a", "b").agg(F.min("node").alias("node")), "pairs")
+    placed = _blocks(leaves.join(paths.select("s", "sig", "leaves"), "s"), F.ceil(F.col("c") / BLOCK))
+    placed = placed.select("node", "x", "y", "s", "part", "sig", "leaves").repartition("node", "x", "y").sortWithinPartitions("node", "x", "y")
+    members = stash(placed.mapInArrow(_compare(least), "node long, s long").distinct(), "members")
+    drop_stash(*held)
+
+    needed = stash(members.select("s").distinct().join(paths.select("s", "k"), "s"), "needed")
+    grams = texts.join(broadcast_if_small(needed), "k").select("s", "t").mapInArrow(_sets(n), "s long, grams binary")
+    grams = stash(grams.groupBy("s").agg(F.first("grams").alias("grams")), "sets-of-members")
+    drop_stash(needed)
+    weight = members.join(grams.select("s", F.octet_length("grams").alias("z")), "s").groupBy("node").agg(F.sum("z").alias("z"))
+    rows = members.join(weight, "node").join(paths.select("s", "copies", "sig", "leaves"), "s").join(grams, "s")
+    rows = _blocks(rows, F.greatest(F.ceil(F.col("z") / BLOCK_BYTES), F.lit(1)))
+    rows = rows.select("node", "x", "y", "s", "part", "copies", "sig", "leaves", "grams").repartition("node", "x", "y").sortWithinPartitions("node", "x", "y")
+    out = stash(rows.mapInArrow(_verify(threshold, least), "s long, root long, links long"), "links")
+    drop_stash(members, paths, grams)
+    return out
+
+
+def _classes(docs: DataFrame, n: int = 3, threshold: float = 0.5, recall: float = 0.97, levels: int = 8, bucket: int = 64, slack: float = 0.15) -> DataFrame:
+    """(k, doc_id, class_id, class_k, links) of each document with a link; k is the key of doc_id and text."""
+    base = docs.select(F.xxhash64("doc_id", "text").alias("k"), F.col("doc_id").alias("d"), F.col("text").alias("t")).where("d IS NOT NULL")
+    kind = dict(base.dtypes)["d"]
+    found = stash(base.mapInArrow(_features(n), f"k long, d {kind}, f1 long, f2 long, sig binary"), "grams")
+    keys = ["f1", "f2"]
+    known = found.groupBy(*keys, "k").agg(F.first("d").alias("d")).groupBy(*keys).agg(F.count("*").alias("copies"), F.min(F.struct("d", "k")).alias("low"))
+    sets = found.groupBy(*keys).agg(F.first("sig").alias("sig")).join(known, keys)
+    sets = stash(sets.select(F.xxhash64(*keys).alias("s"), "sig", "copies", F.col("low.k").alias("k"), F.col("low.d").alias("d")), "sets")
+    held = _links(sets.select("s", "sig", "copies", "k"), base.select("k", "t"), n, threshold, recall, levels, bucket, slack)
+    label = components(held.where("s <> root").select(F.col("root").alias("doc_a"), F.col("s").alias("doc_b"))).withColumnRenamed("d", "s")
+    linked = held.groupBy("s").agg(F.sum("links").alias("links"))
+    own = sets.select("s", "copies", "d", "k").join(linked, "s", "left").join(label, "s", "left")
+    own = own.select("s", F.coalesce("root", "s").alias("root"), F.struct("d", "k").alias("low"), (F.coalesce("links", F.lit(0)) + F.col("copies") - 1).alias("links")).where("links > 0")
+    own = stash(own, "own")
+    lowest = own.groupBy("root").agg(F.min("low").alias("low"))
+    named = stash(own.select("s", "root", "links").join(lowest, "root").select("s", "links", "low"), "classes")
+    rows = found.select("k", "d", F.xxhash64(*keys).alias("s")).distinct()
+    out = stash(rows.join(named, "s").select("k", F.col("d").alias("doc_id"), F.col("low.d").alias("class_id"), F.col("low.k").alias("class_k"), "links"), "linked")
+    drop_stash(found, sets, held, own, named)
+    return out
+
 
-    members = pairs.select("node", F.explode(F.array("a", "b")).alias("d")).distinct()
-    needed = members.select("d").distinct()
-    grams = base.join(broadcast_if_small(needed, needed.count()), "d").mapInArrow(_sets(n), "d long, grams binary")
-    rows = members.join(grams, "d").select("node", F.col("d").alias("a"), F.lit(None).cast("long").alias("b"), "grams")
-    rows = rows.unionByName(pairs.select("node", "a", "b", F.lit(None).cast("binary").alias("grams")))
-    near = rows.repartition("node").sortWithinPartitions("node", F.asc_nulls_first("b")).mapInArrow(_verify(threshold), "doc_a long, doc_b long, jaccard double")
-    return copies.unionByName(near.distinct()).select("doc_a", "doc_b", F.round("jaccard", 6).alias("jaccard"))
+def ngram_jaccard_join(docs: DataFrame, **how) -> DataFrame:
+    """(doc_id, class_id, links) of each document that has another one at the threshold."""
+    return _classes(docs, **how).select("doc_id", "class_id", "links")
 
 
 def _low_bytes(batches):
     for batch in batches:
         if batch.num_rows:
             low = (_signatures(batch.column(1)) & np.uint32(0xFF)).astype(np.uint8)
-            yield pa.RecordBatch.from_arrays([batch.column(0), pa.array([x.tobytes() for x in low], pa.binary())], names=["d", "sig"])
+            yield pa.RecordBatch.from_arrays([batch.column(0), pa.array([x.tobytes() for x in low], pa.binary()), batch.column(2), batch.column(3)], names=["s", "sig", "copies", "k"])
 
 
 def components(pairs: DataFrame) -> DataFrame:
@@ -358,13 +409,14 @@ def components(pairs: DataFrame) -> DataFrame:
         label = new
         if not changed:
             break
+    drop_stash(edges)
     return label.select("d", "root")
 
 
 def drop_near_copies(docs: DataFrame, **how) -> DataFrame:
-    """docs with only the lowest doc_id of each group of near copies left; columns unchanged, repeated rows stay repeated."""
-    label = components(ngram_jaccard_join(docs, **how))
-    losers = label.where("d <> root").select(F.col("d").alias("loser"))
+    """docs with only the lowest document (by doc_id, then text hash) of each class left; columns unchanged, repeated rows
+    stay repeated."""
+    losers = stash(_classes(docs, **how).where("k <> class_k").select(F.col("k").alias("loser")), "losers")
     rows = docs.select(F.struct("*").alias("r"))
-    kept = rows.join(losers, F.col("r.doc_id").cast("long") == F.col("loser"), "left_anti")
+    kept = rows.join(broadcast_if_small(losers), F.col("r.doc_id").isNotNull() & (F.xxhash64("r.doc_id", "r.text") == F.col("loser")), "left_anti")
     return kept.select(*[F.col("r")[c].alias(c) for c in docs.columns])

@@ -8,7 +8,7 @@ import pytest
 import corpus_pipeline as C
 from marlstone.llm import bpe, line_dedup, mixing, quality
 
-from .test_ngram_join import brute, gram_set
+from .test_ngram_join import classes, gram_set, links
 
 SCHEMA = "doc_id long, text string, lang string, source string, n_chars long"
 
@@ -48,18 +48,8 @@ def unrepeated(rows):
 
 
 def one_of_each(rows):
-    pairs = brute([(r[0], r[1]) for r in rows])
-    root = {}
-
-    def find(x):
-        while root.get(x, x) != x:
-            x = root[x]
-        return x
-
-    for a, b in pairs:
-        a, b = find(a), find(b)
-        root[max(a, b)] = min(a, b)
-    return [r for r in rows if find(r[0]) == r[0]]
+    root = classes(links([(r[0], r[1]) for r in rows]))
+    return [r for r in rows if root.get(r[:2], r[:2]) == r[:2]]
 
 
 def mixture(rows):
