@@ -1,14 +1,12 @@
 import random
-import re
 
 import numpy as np
+import pytest
 
 from marlstone.llm import suffix_dedup as S
 from marlstone.llm import textvec as tv
 
-
-def words(text):
-    return re.findall(r"[0-9a-z\u0080-\U0010ffff]+", (text or "").lower())
+from .test_ngram_join import words
 
 
 def brute(rows, threshold):
@@ -72,8 +70,28 @@ def test_against_brute_force_on_random_texts(spark):
             ws += ["z"] * rng.randint(0, 40)
         rows.append((d, " ".join(ws)))
     docs = spark.createDataFrame(rows, "doc_id long, text string")
-    for threshold, base in ((9, 4), (20, 16), (7, 1), (5, 16)):
-        assert got(S.repeated_passages(docs, threshold, base)) == brute(rows, threshold)
+    for threshold, base, anchor in ((9, 4, 4), (20, 1, 16), (7, 1, 2), (5, 16, 16)):
+        assert got(S.repeated_passages(docs, threshold, base, anchor)) == brute(rows, threshold)
+
+
+@pytest.mark.parametrize("parts", [1, 3, 40])
+def test_ranks_of_sorted_pairs(spark, parts):
+    """Runs that reach over many tasks, single pairs at their bounds, and nothing at all."""
+    rng = random.Random(parts)
+    values = [rng.choice([(1, 1), (1, 2), (5, rng.randint(0, 400)), (7, 7), (-9, 3)]) for _ in range(3000)] + [(50 + i, 0) for i in range(200)]
+    frame = spark.createDataFrame([(i % 50, i, *v) for i, v in enumerate(values)], "k long, p int, r1 long, r2 long")
+    spark.conf.set("spark.sql.shuffle.partitions", str(parts))
+    try:
+        ranks, _ = S._rerank(frame)
+        found = {r.p: r.r for r in ranks.collect()}
+        assert S._rerank(frame.limit(0))[0].count() == 0
+    finally:
+        spark.conf.set("spark.sql.shuffle.partitions", "8")
+    assert set(found) == {i for i, v in enumerate(values) if values.count(v) > 1}
+    by = {}
+    for i, r in found.items():
+        assert by.setdefault(r, values[i]) == values[i]
+    assert [by[r] for r in sorted(by)] == sorted(set(by.values())) and len(by) == len(set(by.values()))
 
 
 def test_edge_rows(spark):
@@ -82,3 +100,11 @@ def test_edge_rows(spark):
     docs = spark.createDataFrame([(*r, 7) for r in rows], "doc_id long, text string, k int")
     assert got(S.repeated_passages(docs)) == sorted([(4, 60, 60, "0-60"), (4, 60, 60, "0-60"), (None, 60, 60, "0-60")], key=str)
     assert S.repeated_passages(docs.limit(0)).count() == 0
+
+
+def test_texts_of_megabytes(spark):
+    long = " ".join(f"w{i * 7 % 99991}" for i in range(600_000))
+    shared = " ".join(f"s{i}" for i in range(55))
+    rows = [(1, long), (2, "x" * 3_000_000), (3, shared + " end"), (4, "other start " + shared), (5, "我" * 60 + "们"), (6, "在" + "我" * 55)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string")
+    assert got(S.repeated_passages(docs)) == brute(rows, 50)
