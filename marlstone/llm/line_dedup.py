@@ -1,8 +1,9 @@
 """Line dedup: the first occurrence of every line in the corpus is kept, as one compressed bitmap per document.
 
-Each line becomes a 128-bit hash with its document and position. The hashes are range-partitioned, sorted within
-each partition by document and position, and the first row of every run of equal hashes streams out.
-No text is shuffled.
+Each line becomes two 64-bit hashes with different seeds, 128 bits in all, with its document and position. A task leaves only its first
+row for a hash (of about COMBINE rows at a time), so a line in every document costs a few rows a task. The hashes are
+range-partitioned, sorted within each partition by document and position, and the first row of every run of
+equal hashes streams out. No text is shuffled.
 
 Defined cases
 * The order of first occurrence is (doc_id, position), null doc_id first. Documents that share a doc_id but differ in
@@ -16,10 +17,17 @@ Defined cases
 
 from __future__ import annotations
 
+from collections.abc import Iterator
+
+import numpy as np
+import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from .common import let
+from .common import let, stash
+
+COMBINE = 1 << 19
 
 
 def _runs(kept, n):
@@ -41,6 +49,29 @@ def _runs(kept, n):
     return F.concat_ws(",", F.array_join(pieces, ","), F.when(tail > 0, tail.cast("string")))
 
 
+def _firsts(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """The first row in (d, v, p) for each (h, g) of about COMBINE rows at a time."""
+    order = [("h", "ascending"), ("g", "ascending"), ("d", "ascending"), ("v", "ascending"), ("p", "ascending")]
+
+    def out(held):
+        table = pa.Table.from_batches(held)
+        table = table.take(pc.sort_indices(table, sort_keys=order, null_placement="at_start"))
+        h, g = table.column("h").to_numpy(), table.column("g").to_numpy()
+        new = np.ones(len(h), bool)
+        new[1:] = (h[1:] != h[:-1]) | (g[1:] != g[:-1])
+        yield from table.filter(pa.array(new)).to_batches()
+
+    held, rows = [], 0
+    for batch in batches:
+        held.append(batch)
+        rows += batch.num_rows
+        if rows >= COMBINE:
+            yield from out(held)
+            held, rows = [], 0
+    if rows:
+        yield from out(held)
+
+
 def line_dedup(docs: DataFrame) -> DataFrame:
     """(doc_id, n_lines, n_kept, keep_bitmap), one row per document."""
     return _bitmaps(docs).select("doc_id", "n_lines", "n_kept", "keep_bitmap")
@@ -56,12 +87,11 @@ def _bitmaps(docs: DataFrame) -> DataFrame:
         "v",
         "p",
         F.when(blank, F.xxhash64("d", "v", "p")).otherwise(F.xxhash64(line)).alias("h"),
-        F.when(blank, F.xxhash64("p", "v", "d")).otherwise(F.xxhash64(line, F.lit(1))).alias("g"),
-        F.spark_partition_id().alias("m"),
+        F.when(blank, F.xxhash64("p", "v", "d")).otherwise(F.xxhash64(F.lit(1), line)).alias("g"),
     )
-    # One row per hash and map task: a line in every document costs a row per task, not one per document.
-    first = lines.groupBy("h", "g", "m").agg(F.min(F.struct("d", "v", "p")).alias("at"))
-    ranged = first.select("h", "g", "at.*").repartitionByRange("h")
+    # The range bounds come from a sample of their own, so what is to be partitioned is written once.
+    first = stash(lines.mapInArrow(_firsts, lines.schema), "lines")
+    ranged = first.repartitionByRange("h", "g")
     order = Window.partitionBy("h", "g").orderBy(F.asc_nulls_first("d"), "v", "p")
     firsts = ranged.withColumn("rn", F.row_number().over(order)).where("rn = 1")
 
