@@ -6,6 +6,9 @@ the prefix of length i encode to just those two when put together (the compatibi
 the border of the pair until a lower-ranked merge across it shows up, or none can). The last tokens are stored
 and followed back from the end, which gives the ids that merging by rank gives.
 
+Pre-tokens met before are looked up in tables that are emptied when their entries come to CACHE_BYTES; an entry over
+a 64th of that is never kept. The bound changes speed only.
+
 The vocabulary is a tiktoken rank file whose path is a parameter; the driver reads it once and broadcasts its
 compact tables (about the size of the file, whatever the corpus).
 
@@ -19,6 +22,7 @@ Defined cases
 from __future__ import annotations
 
 import base64
+import hashlib
 import re
 from collections.abc import Iterator
 
@@ -30,7 +34,7 @@ from pyspark.sql import types as T
 
 VOCABULARY = "/opt/tokenizers/byte_bpe_50k.tiktoken"
 PATTERN = r"'(?:[sdmt]|ll|ve|re)| ?\p{L}++| ?\p{N}++| ?[^\s\p{L}\p{N}]++|\s++$|\s+(?!\S)|\s"
-CACHE_WORDS = 300_000
+CACHE_BYTES = 64 << 20
 CACHE_PAIRS = 200_000
 
 
@@ -83,6 +87,7 @@ class Bpe:
         self.pairs: dict[int, bool] = {}
         self.words: dict[str, bytes] = {}
         self.bare: dict[str, bytes] = {}
+        self.held = 0
         self.split = regex.compile(PATTERN).findall
         self.blanks = re.compile(r"^ | $|\s[ ]|[ ]\s").search
         self.whole = {token: np.int32(i).tobytes() for i, token in enumerate(tokens) if token and self.left[i] >= 0}
@@ -144,14 +149,22 @@ class Bpe:
         if ids is None:
             ids = self.bare.get(piece)
             if ids is None:
-                ids = self.bare[piece] = np.array(self.encode_word(raw), np.int32).tobytes()
+                ids = np.array(self.encode_word(raw), np.int32).tobytes()
+                self._keep(self.bare, piece, ids)
         return ids
 
+    def _keep(self, table: dict[str, bytes], key: str, ids: bytes) -> None:
+        """Remembers the ids of a piece, unless it is very long."""
+        size = key.__sizeof__() + len(ids) + 130
+        if size <= CACHE_BYTES >> 6:
+            table[key] = ids
+            self.held += size
+
     def _chunk(self, chunk: str) -> bytes:
         """The ids of a space and a run of text without spaces."""
         pieces = self.split(" " + chunk)
         ids = self._piece(pieces[0]) if len(pieces) == 1 else b"".join([self.words.get(p[1:]) or self._piece(p) if p[0] == " " else self._piece(p) for p in pieces])
-        self.words[chunk] = ids
+        self._keep(self.words, chunk, ids)
         return ids
 
     def encode_bytes(self, text: str) -> bytes:
@@ -160,9 +173,10 @@ class Bpe:
         A space between two characters that aren't white space always begins a pre-token, so there the text can be cut
         and the runs between spaces looked up; other texts are split by the pattern alone.
         """
-        if len(self.words) + len(self.bare) > CACHE_WORDS:
+        if self.held > CACHE_BYTES:
             self.words.clear()
             self.bare.clear()
+            self.held = 0
         if self.blanks(text):
             return b"".join([self._piece(p) for p in self.split(text)])
         words = self.words
@@ -181,22 +195,22 @@ class Bpe:
             return b"".join(tokens[i] for i in ids if i is not None and 0 <= i < len(tokens))
 
 
-_made: dict[int, Bpe] = {}
+_made: dict[bytes, Bpe] = {}
 
 
 def _tables(df: DataFrame, vocabulary: str):
     tokens = read_ranks(vocabulary)
     left, right = merge_tables(tokens)
-    return df.sparkSession.sparkContext.broadcast((tokens, left.astype(np.int32), right.astype(np.int32)))
+    digest = hashlib.sha256(b"".join(b"%d:%b" % (len(t), t) for t in tokens)).digest()
+    return df.sparkSession.sparkContext.broadcast((digest, tokens, left.astype(np.int32), right.astype(np.int32)))
 
 
 def _bpe(tables) -> Bpe:
     """One per worker process and vocabulary."""
-    key = hash((len(tables.value[0]), tables.value[0][-1]))
+    key = tables.value[0]
     if key not in _made:
         _made.clear()
-        tokens, left, right = tables.value
-        _made[key] = Bpe(tokens, left, right)
+        _made[key] = Bpe(*tables.value[1:])
     return _made[key]
 
 

@@ -64,3 +64,30 @@ def test_edge_rows(spark):
     assert B.bpe_encode(docs.limit(0)).count() == 0
     bad = spark.createDataFrame([(1, [50255, 999999, None, -4, 64]), (2, None)], "doc_id long, token_ids array<int>")
     assert [r.text is None for r in B.bpe_decode(bad).orderBy("doc_id").collect()] == [False, True]
+
+
+def test_vocabularies_of_one_size_are_told_apart(spark, tmp_path):
+    import base64
+
+    def vocabulary(name, merges):
+        tokens = [bytes([i]) for i in range(256)] + merges
+        path = tmp_path / name
+        path.write_bytes(b"\n".join(base64.b64encode(t) + b" %d" % i for i, t in enumerate(tokens)))
+        return str(path)
+
+    docs = spark.createDataFrame([(1, "abab")], "doc_id long, text string").coalesce(1)
+    one, two = vocabulary("one", [b"ab", b"xy"]), vocabulary("two", [b"ba", b"xy"])
+    assert B.bpe_encode(docs, one).first().token_ids == [256, 256]
+    assert B.bpe_encode(docs, two).first().token_ids == [97, 256, 98]
+
+
+def test_megabytes_without_a_space(spark, monkeypatch):
+    monkeypatch.setattr(B, "CACHE_BYTES", 1 << 16)
+    texts = ["x" * 5_000_000, "ab1" * 700_000, " " * 2_000_000 + "end", "\u6211\u4eec" * 200_000]
+    docs = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")
+    assert all(r.round_trip for r in B.bpe_encode(docs).select("round_trip").collect())
+    tokens = B.read_ranks()
+    coder = B.Bpe(tokens, *B.merge_tables(tokens))
+    for i in range(3000):
+        coder.encode_bytes(f"made{i} up{i} words{i}")
+    assert coder.held <= (1 << 16) + 2000
