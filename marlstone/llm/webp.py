@@ -9,13 +9,15 @@ tables that have none.
 
 Defined cases
 * A null image decodes to nulls. Bytes that are no lossless WebP, are cut off or break a rule of the format decode to
-  nulls with the reason in error; other rows aren't affected.
+  nulls with the reason in error; other rows aren't affected. So does an image of more than max_pixels pixels (a
+  parameter, 2^24 if not given): a few bytes may stand for 2^28, which no task's memory holds.
 * Equal images decode alike, whatever their number; extra columns are ignored; an empty table gives an empty result.
 """
 
 from __future__ import annotations
 
 import struct
+from array import array
 from collections.abc import Iterator
 
 import numpy as np
@@ -23,6 +25,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+MAX_PIXELS = 1 << 24
 CODE_ORDER = (17, 18, 0, 1, 2, 3, 4, 5, 16, 6, 7, 8, 9, 10, 11, 12, 13, 14, 15)
 PREDICTOR, CROSS, GREEN, PALETTE = range(4)
 
@@ -46,7 +49,7 @@ class Bits:
 
     def __init__(self, data: bytes):
         self.at, self.end = 0, 8 * len(data)
-        self.data = data + b"\0" * 8
+        self.data = data + b"\0" * 16
 
     def peek(self, n: int) -> int:
         return (int.from_bytes(self.data[self.at >> 3 : (self.at >> 3) + 4], "little") >> (self.at & 7)) & ((1 << n) - 1)
@@ -143,7 +146,7 @@ def _down(n: int, bits: int) -> int:
     return (n + (1 << bits) - 1) >> bits
 
 
-def read_pixels(bits: Bits, width: int, height: int, top: bool) -> list[int]:
+def read_pixels(bits: Bits, width: int, height: int, top: bool) -> array:
     """ARGB values of an entropy-coded image, row by row."""
     cache_bits = bits.read(4) if bits.read(1) else 0
     if cache_bits > 11:
@@ -155,22 +158,42 @@ def read_pixels(bits: Bits, width: int, height: int, top: bool) -> list[int]:
         meta = [(p >> 8) & 0xFFFF for p in read_pixels(bits, _down(width, tile), _down(height, tile), False)]
         groups = max(meta) + 1
     codes = [[read_code(bits, n) for n in (280 + len(cache), 256, 256, 256, 40)] for _ in range(groups)]
-    total, out, across = width * height, [], _down(width, tile)
+    tables = [[x for code in group[:4] for x in (code.table, (1 << code.width) - 1)] for group in codes]
+    total, out, across = width * height, array("I"), _down(width, tile)
     shift = 32 - cache_bits
-    while len(out) < total:
-        at = len(out)
-        green, red, blue, alpha, far = codes[meta[(at // width >> tile) * across + (at % width >> tile)] if meta else 0]
-        s = green.read(bits)
+    data, end, pos, at = bits.data, bits.end, bits.at, 0
+    green, green_mask, red, red_mask, blue, blue_mask, alpha, alpha_mask = tables[0]
+    far = codes[0][4]
+    while at < total:
+        if meta:
+            k = meta[(at // width >> tile) * across + (at % width >> tile)]
+            green, green_mask, red, red_mask, blue, blue_mask, alpha, alpha_mask = tables[k]
+            far = codes[k][4]
+        # Four codes have 60 bits at the most: nine bytes hold them wherever they begin.
+        word = int.from_bytes(data[pos >> 3 : (pos >> 3) + 9], "little") >> (pos & 7)
+        s, n = green[word & green_mask]
         if s < 256:
-            r = red.read(bits)
-            b = blue.read(bits)
-            pixel = alpha.read(bits) << 24 | r << 16 | s << 8 | b
+            word >>= n
+            r, m = red[word & red_mask]
+            word >>= m
+            n += m
+            b, m = blue[word & blue_mask]
+            word >>= m
+            n += m
+            a, m = alpha[word & alpha_mask]
+            pos += n + m
+            if pos > end:
+                raise ValueError("the data ends early")
+            pixel = a << 24 | r << 16 | s << 8 | b
             out.append(pixel)
+            at += 1
             if cache_bits:
                 cache[(0x1E35A7BD * pixel & 0xFFFFFFFF) >> shift] = pixel
         elif s < 280:
+            bits.at = pos + n
             length = _value(bits, s - 256)
             code = _value(bits, far.read(bits))
+            pos = bits.at
             if code > 120:
                 distance = code - 120
             else:
@@ -178,20 +201,29 @@ def read_pixels(bits: Bits, width: int, height: int, top: bool) -> list[int]:
                 distance = max(1, dx + dy * width)
             if distance > at or at + length > total:
                 raise ValueError("a back-reference out of the image")
-            for k in range(length):
-                out.append(out[at - distance + k])
+            if distance >= length:
+                out.extend(out[at - distance : at - distance + length])
+            else:
+                turn = out[at - distance : at]
+                out.extend((turn * (length // distance + 1))[:length])
             if cache_bits:
                 for pixel in out[at:]:
                     cache[(0x1E35A7BD * pixel & 0xFFFFFFFF) >> shift] = pixel
+            at += length
         else:
+            pos += n
+            if pos > end:
+                raise ValueError("the data ends early")
             out.append(cache[s - 280])
+            at += 1
+    bits.at = pos
     return out
 
 
 def _planes(pixels) -> np.ndarray:
-    """N x 4 of A, R, G, B as int64."""
-    p = np.asarray(pixels, np.int64)
-    return np.stack([p >> 24 & 255, p >> 16 & 255, p >> 8 & 255, p & 255], -1)
+    """N x 4 of A, R, G, B as int16."""
+    p = np.asarray(pixels, np.uint32)
+    return np.stack([p >> 24, p >> 16 & 255, p >> 8 & 255, p & 255], -1).astype(np.int16)
 
 
 def predict(mode: int, left: tuple, top: tuple, corner: tuple, right: tuple) -> tuple:
@@ -226,27 +258,63 @@ def predict(mode: int, left: tuple, top: tuple, corner: tuple, right: tuple) ->
     return (255, 0, 0, 0)
 
 
+def _row(mode: int, start: int, end: int, width: int, known: np.ndarray, data: np.ndarray) -> None:
+    """Undoes one predictor over known[start:end] of a row, neither its first pixel nor in the top row."""
+    above = known[start - width : end - width]
+    if mode in (0, 2, 3, 4, 8, 9) or mode > 13:
+        corner = known[start - width - 1 : end - width - 1]
+        if mode in (3, 9) and end % width == 0:  # the last pixel's upper right one is the first of its own row
+            right = np.concatenate([known[start - width + 1 : end - width], known[end - width : end - width + 1]])
+        else:
+            right = known[start - width + 1 : end - width + 1]
+        guess = {2: lambda: above, 3: lambda: right, 4: lambda: corner, 8: lambda: (corner + above) >> 1, 9: lambda: (above + right) >> 1}.get(mode, lambda: OPAQUE)()
+        known[start:end] = (data[start:end] + guess) & 255
+    elif mode == 1:
+        known[start:end] = (np.cumsum(data[start:end], 0, dtype=np.int32) + known[start - 1]) & 255
+    else:
+        near = known[start - width - 1 : end - width + 1].tolist()
+        left, out = known[start - 1].tolist(), []
+        for k, residual in enumerate(data[start:end].tolist()):
+            left = [(a + b) & 255 for a, b in zip(residual, predict(mode, left, near[k + 1], near[k], near[k + 2]))]
+            out.append(left)
+        known[start:end] = out
+
+
+OPAQUE = np.array([255, 0, 0, 0], np.int16)
+
+
 def run_predictor(pixels: np.ndarray, width: int, height: int, modes: list[int], tile: int, undo: bool) -> np.ndarray:
     """Adds the predictions to residuals (undo) or takes them from pixels; N x 4 of A, R, G, B."""
-    data = [tuple(p) for p in pixels.tolist()]
-    known = [] if undo else data
-    out = []
     across = _down(width, tile)
-    sign = 1 if undo else -1
-    for y in range(height):
-        for x in range(width):
-            i = y * width + x
+    if not undo:
+        data = [tuple(p) for p in pixels.tolist()]
+        out = []
+        for i, own in enumerate(data):
+            y, x = divmod(i, width)
             if not y:
-                guess = known[i - 1] if x else (255, 0, 0, 0)
+                guess = data[i - 1] if x else (255, 0, 0, 0)
             elif not x:
-                guess = known[i - width]
+                guess = data[i - width]
             else:
-                guess = predict(modes[(y >> tile) * across + (x >> tile)], known[i - 1], known[i - width], known[i - width - 1], known[i - width + 1])
-            value = tuple((a + sign * b) & 255 for a, b in zip(data[i], guess))
-            out.append(value)
-            if undo:
-                known.append(value)
-    return np.array(out, np.int64).reshape(-1, 4)
+                guess = predict(modes[(y >> tile) * across + (x >> tile)], data[i - 1], data[i - width], data[i - width - 1], data[i - width + 1])
+            out.append(tuple((a - b) & 255 for a, b in zip(own, guess)))
+        return np.array(out, np.int64).reshape(-1, 4)
+    known = np.zeros_like(pixels)
+    known[:width] = (np.cumsum(pixels[:width], 0, dtype=np.int32) + OPAQUE) & 255
+    for y in range(1, height):
+        base = y * width
+        known[base] = (pixels[base] + known[base - width]) & 255
+        row = modes[(y >> tile) * across : (y >> tile) * across + across]
+        x = 1
+        while x < width:
+            k = x >> tile
+            stop = k + 1
+            while stop < across and row[stop] == row[k]:
+                stop += 1
+            end = min(width, stop << tile)
+            _row(row[k], base + x, base + end, width, known, pixels)
+            x = end
+    return known
 
 
 def _signed(x: np.ndarray) -> np.ndarray:
@@ -255,20 +323,22 @@ def _signed(x: np.ndarray) -> np.ndarray:
 
 def run_cross(p: np.ndarray, width: int, height: int, elements: np.ndarray, tile: int, undo: bool) -> np.ndarray:
     """elements: N x 4 of A, R, G, B holding red-to-blue, green-to-blue and green-to-red in R, G, B."""
-    y, x = np.divmod(np.arange(width * height), width)
-    e = elements[(y >> tile) * _down(width, tile) + (x >> tile)]
     delta = lambda t, c: (_signed(t) * _signed(c)) >> 5
     sign = 1 if undo else -1
     out = p.copy()
-    red = p[:, 1] + sign * delta(e[:, 3], p[:, 2]) & 255
-    of = red if undo else p[:, 1]
-    out[:, 1] = red
-    out[:, 3] = p[:, 3] + sign * (delta(e[:, 2], p[:, 2]) + delta(e[:, 1], of)) & 255
+    across = np.arange(width) >> tile
+    for y in range(height):
+        row = slice(y * width, (y + 1) * width)
+        e, own = elements[(y >> tile) * _down(width, tile) + across].astype(np.int32), p[row].astype(np.int32)
+        red = own[:, 1] + sign * delta(e[:, 3], own[:, 2]) & 255
+        of = red if undo else own[:, 1]
+        out[row, 1] = red
+        out[row, 3] = own[:, 3] + sign * (delta(e[:, 2], own[:, 2]) + delta(e[:, 1], of)) & 255
     return out
 
 
-def decode(data: bytes) -> np.ndarray:
-    """H x W x 4 bytes of R, G, B, A; ValueError for anything that isn't a whole lossless WebP."""
+def decode(data: bytes, max_pixels: int = MAX_PIXELS) -> np.ndarray:
+    """H x W x 4 bytes of R, G, B, A; ValueError for anything that isn't a whole lossless WebP of at most max_pixels."""
     if len(data) < 20 or data[:4] != b"RIFF" or data[8:12] != b"WEBP":
         raise ValueError("not a WebP")
     end = 8 + struct.unpack("<I", data[4:8])[0]
@@ -290,6 +360,13 @@ def decode(data: bytes) -> np.ndarray:
     bits.read(1)
     if bits.read(3):
         raise ValueError("an unknown version")
+    if width * height > max_pixels:
+        raise ValueError(f"{width} x {height} pixels are more than {max_pixels}")
+    return decode_stream(bits, width, height)
+
+
+def decode_stream(bits: Bits, width: int, height: int) -> np.ndarray:
+    """H x W x 4 bytes of R, G, B, A of an image stream without its header."""
     steps, inner = [], width
     while bits.read(1):
         kind = bits.read(2)
@@ -302,9 +379,9 @@ def decode(data: bytes) -> np.ndarray:
             steps.append((kind, inner, 0, None))
         else:
             n = bits.read(8) + 1
-            colours = np.cumsum(_planes(read_pixels(bits, n, 1, False)), 0) & 255
+            colours = np.cumsum(_planes(read_pixels(bits, n, 1, False)), 0, dtype=np.int32) & 255
             pack = 3 if n <= 2 else 2 if n <= 4 else 1 if n <= 16 else 0
-            steps.append((kind, inner, pack, colours))
+            steps.append((kind, inner, pack, colours.astype(np.int16)))
             inner = _down(inner, pack)
     p = _planes(read_pixels(bits, inner, height, True))
     for kind, across, tile, extra in reversed(steps):
@@ -319,8 +396,8 @@ def decode(data: bytes) -> np.ndarray:
             g = p[:, 2].reshape(height, -1)
             depth = 8 >> tile
             x = np.arange(across)
-            index = g[:, x >> tile] >> (x & (1 << tile) - 1) * depth & (1 << depth) - 1
-            table = np.zeros((256, 4), np.int64)
+            index = g[:, x >> tile] >> ((x & (1 << tile) - 1) * depth).astype(np.int16) & (1 << depth) - 1
+            table = np.zeros((256, 4), np.int16)
             table[: len(extra)] = extra
             p = table[index.ravel()]
     return p[:, [1, 2, 3, 0]].astype(np.uint8).reshape(height, width, 4)
@@ -534,27 +611,33 @@ def encode(image: np.ndarray, transforms: tuple[int, ...] = (), cache_bits: int
     return b"RIFF" + struct.pack("<I", 4 + len(chunk)) + b"WEBP" + chunk
 
 
-def decode_column(images: DataFrame, column: str = "image", keep: tuple[str, ...] = ("id",)) -> DataFrame:
+def decode_column(images: DataFrame, column: str = "image", keep: tuple[str, ...] = ("id",), max_pixels: int = MAX_PIXELS) -> DataFrame:
     """keep's columns, width, height, pixels (R, G, B, A bytes row by row) and error."""
     kept = len(keep)
     fields = [f"`{c}` {images.schema[c].dataType.simpleString()}" for c in keep]
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            size, pixels, errors = [], [], []
-            for data in batch.column(kept).to_pylist():
-                try:
-                    image = None if data is None else decode(data)
-                    size.append(None if image is None else image.shape[:2])
-                    pixels.append(None if image is None else image.tobytes())
-                    errors.append(None)
-                except (ValueError, IndexError) as e:
-                    size.append(None)
-                    pixels.append(None)
-                    errors.append(str(e))
-            columns = [batch.column(i) for i in range(kept)]
-            columns += [pa.array([s and s[1] for s in size], pa.int32()), pa.array([s and s[0] for s in size], pa.int32()), pa.array(pixels, pa.binary()), pa.array(errors, pa.string())]
-            yield pa.RecordBatch.from_arrays(columns, names=[*keep, "width", "height", "pixels", "error"])
+        for whole in batches:
+            at = 0
+            while at < whole.num_rows:
+                size, pixels, errors, held = [], [], [], 0
+                first = at
+                while at < whole.num_rows and held < 1 << 26:  # pixels of many images never wait for one another
+                    data = whole.column(kept)[at].as_py()
+                    at += 1
+                    try:
+                        image = None if data is None else decode(data, max_pixels)
+                        size.append(None if image is None else image.shape[:2])
+                        pixels.append(None if image is None else image.tobytes())
+                        errors.append(None)
+                        held += 0 if image is None else image.nbytes
+                    except (ValueError, IndexError) as e:
+                        size.append(None)
+                        pixels.append(None)
+                        errors.append(str(e))
+                columns = [whole.column(i).slice(first, at - first) for i in range(kept)]
+                columns += [pa.array([s and s[1] for s in size], pa.int32()), pa.array([s and s[0] for s in size], pa.int32()), pa.array(pixels, pa.binary()), pa.array(errors, pa.string())]
+                yield pa.RecordBatch.from_arrays(columns, names=[*keep, "width", "height", "pixels", "error"])
 
     return images.select(*[F.col(c) for c in keep], F.col(column).alias("__image")).mapInArrow(run, ", ".join([*fields, "width int, height int, pixels binary, error string"]))
 
