@@ -1,7 +1,8 @@
 """Personal data by a skip-chain conditional random field.
 
-The nodes are the tokens of a document that hold a digit or an at sign (every other token is O by construction). Tokens
-next to each other are joined by transition potentials; tokens of a document that repeat, or that have the same
+The nodes are the tokens of a document. Those without a digit or an at sign are O by construction, that is observed, and
+enter as what their transition potentials give their neighbours; the others are labelled. Tokens next to each other are
+joined by transition potentials; tokens of a document that repeat, or that have the same
 shape, are joined by skip potentials, each to the next of its kind, however far apart. Loopy sum-product message
 passing over the whole document makes their labels agree, so that a doubtful occurrence follows the clear ones.
 
@@ -32,7 +33,7 @@ LABELS = ["O", "EMAIL", "PHONE", "CARD", "IP", "SSN", "IBAN"]
 TRAIN_LINES = 3000
 ROUNDS = 10
 LIVE = re.compile(r"[0-9@]\S*")
-JUNK = re.compile(r"([*#$%&|~^])\1+$")
+JUNK = "*#$%&|~^"
 LEAD, TAIL = "\"'«<([{", "\"'»>)]},.;:!?"
 
 _cues = {"email": 0, "e-mail": 0, "mail": 0, "phone": 1, "tel": 1, "call": 1, "fax": 1, "mobile": 1, "card": 2, "visa": 2, "credit": 2, "ip": 3, "host": 3, "server": 3, "ssn": 4, "social": 4, "iban": 5, "account": 5, "version": 6, "license": 6, "page": 6, "token": 6, "isbn": 6, "order": 6}
@@ -60,7 +61,7 @@ _tests = [
         r"\d{17,}",
         r"\d{10,12}",
         r"\d+",
-        r"(?:[0-9]*[a-f][0-9a-f]*[0-9][0-9a-f]*|[0-9]+[a-f][0-9a-f]*){1}",
+        r"(?=[0-9]*[a-f])(?=[a-f]*[0-9])[0-9a-f]+",
         r".*[A-Za-z].*",
         r".*[=/\\_].*",
         r".*\d{20,}.*",
@@ -81,11 +82,15 @@ def _luhn(digits: str) -> bool:
 def core(token: str) -> tuple[int, int]:
     """Where the token lies within the punctuation around it; brackets that close within the token stay."""
     s, e = 0, len(token)
-    if m := JUNK.search(token):
-        e = m.start()
-    while s < e and token[s] in LEAD and not (token[s] == "(" and ")" in token[s:]):
+    if e and token[-1] in JUNK:
+        bare = len(token.rstrip(token[-1]))
+        if e - bare > 1:
+            e = bare
+    close = token.rfind(")")
+    while s < e and token[s] in LEAD and not (token[s] == "(" and close >= s):
         s += 1
-    while e > s and token[e - 1] in TAIL and not (token[e - 1] == ")" and "(" in token[s:e]):
+    opened = token.find("(", s)
+    while e > s and token[e - 1] in TAIL and not (token[e - 1] == ")" and -1 < opened < e):
         e -= 1
     return s, e
 
@@ -110,9 +115,10 @@ def shape(token: str) -> str:
     return re.sub(r"[A-Za-z]+", "a", re.sub(r"\d", "0", token))
 
 
-def graph(text: str) -> tuple[list[tuple[int, int]], list[list[int]], list[tuple[int, int, int]]]:
-    """(token ranges, features, edges) of a text; edge kinds: 0 next to each other, 1 repeated, 2 of the same shape."""
-    places, feats, edges = [], [], []
+def graph(text: str) -> tuple[list[tuple[int, int]], list[list[int]], list[tuple[int, int, int]], list[list[int]]]:
+    """(token ranges, features, edges, whether a word lies before and after) of a text's tokens to label; edge kinds: 0 next
+    to each other, 1 repeated, 2 of the same shape."""
+    places, feats, edges, beside = [], [], [], []
     same: dict[str, int] = {}
     alike: dict[str, int] = {}
     end = 0
@@ -124,8 +130,12 @@ def graph(text: str) -> tuple[list[tuple[int, int]], list[list[int]], list[tuple
             s -= 1
         i, token = len(places), text[s : m.end()]
         a, b = core(token)
-        if i and not text[end:s].strip() and s - end <= 3:
+        word_before = not text[end:s].isspace() and s > end
+        if i and word_before:
+            beside[-1][1] = 1
+        elif i and s - end <= 3:
             edges.append((i - 1, i, 0))
+        beside.append([int(word_before), 0])
         end = m.end()
         before = text[max(0, s - 24) : s].split()
         word = token[a:b]
@@ -140,6 +150,8 @@ def graph(text: str) -> tuple[list[tuple[int, int]], list[list[int]], list[tuple
             if key in alike and alike[key] != edges_last(edges, i):
                 edges.append((alike[key], i, 2))
             alike[key] = i
+    if beside and text[end:].strip():
+        beside[-1][1] = 1
     run: list[int] = []
     for i, (s, e) in enumerate([*places, (-9, -9)]):
         part = e - s in (3, 4, 5, 6) and text[s:e].isdigit()
@@ -150,7 +162,7 @@ def graph(text: str) -> tuple[list[tuple[int, int]], list[list[int]], list[tuple
             for k in run:
                 feats[k].append(N_FEATURES - 1)
         run = [i] if part else []
-    return places, feats, edges
+    return places, feats, edges, beside
 
 
 def edges_last(edges, i: int) -> int:
@@ -227,15 +239,16 @@ def generate(seed: int, lines: int) -> list[tuple[str, list[int]]]:
 def train(seed: int = 5, lines: int = TRAIN_LINES, steps: int = 250) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     """(unary weights, transitions, skip weights by kind), by maximum pseudo-likelihood and full-batch Adam."""
     n_labels = len(LABELS)
-    rows, cols, ys, edges, base = [], [], [], [], 0
+    rows, cols, ys, edges, sides, base = [], [], [], [], [], 0
     for text, labels in generate(seed, lines):
-        places, feats, es = graph(text)
+        places, feats, es, beside = graph(text)
         if len(places) != len(labels):
             continue
         for i, f in enumerate(feats):
             rows += [base + i] * len(f)
             cols += f
         ys += labels
+        sides += beside
         edges += [(base + a, base + b, k) for a, b, k in es]
         base += len(places)
     x = np.zeros((base, N_FEATURES), np.float32)
@@ -249,6 +262,7 @@ def train(seed: int = 5, lines: int = TRAIN_LINES, steps: int = 250) -> tuple[np
         np.add.at(near[kind - 1], e[:, 0], y[e[:, 1]])
         np.add.at(near[kind - 1], e[:, 1], y[e[:, 0]])
     left, right = np.zeros((base, n_labels), np.float32), np.zeros((base, n_labels), np.float32)
+    left[:, 0], right[:, 0] = np.array(sides, np.float32).T
     left[chain[:, 1]], right[chain[:, 0]] = y[chain[:, 0]], y[chain[:, 1]]
     params = [np.zeros((N_FEATURES, n_labels)), np.zeros((n_labels, n_labels)), np.zeros(2)]
     m, v = [p * 0 for p in params], [p * 0 for p in params]
@@ -293,14 +307,21 @@ def infer(unary: np.ndarray, edges: np.ndarray, transitions: np.ndarray, skip: n
     return p / p.sum(1, keepdims=True)
 
 
+def potentials(feats: list[list[int]], sides: list[list[int]], u: np.ndarray, t: np.ndarray) -> np.ndarray:
+    """The log potential of each label of each token: its features, and the words beside it, which are O."""
+    before, after = np.array(sides, np.float64).T
+    return np.array([u[f].sum(0) for f in feats]) + before[:, None] * t[0] + after[:, None] * t[:, 0]
+
+
 def label_texts(texts: list[str | None], model) -> list[list[tuple[int, int, str]]]:
     """(start, end, label) of every entity of each text."""
     u, t, s = model
-    places, feats, edges, owner = [], [], [], []
+    places, feats, edges, sides, owner = [], [], [], [], []
     for k, text in enumerate(texts):
         if not text:
             continue
-        p, f, e = graph(text)
+        p, f, e, beside = graph(text)
+        sides += beside
         base = len(places)
         places += p
         feats += f
@@ -309,7 +330,7 @@ def label_texts(texts: list[str | None], model) -> list[list[tuple[int, int, str
     out: list[list[tuple[int, int, str]]] = [[] for _ in texts]
     if not places:
         return out
-    unary = np.array([u[f].sum(0) for f in feats])
+    unary = potentials(feats, sides, u, t)
     y = infer(unary, np.array(edges, np.int64).reshape(-1, 3), t, s).argmax(1)
     last, last_owner = None, None
     for k, (a, b), label in zip(owner, places, y.tolist()):
