@@ -15,7 +15,10 @@ Spark's regular expressions pick the documents that hold a candidate; Python par
 Defined cases
 * A null or empty text reports nothing. Findings are in order of position; a place is reported once, under the first
   kind above that confirms it. Repeated rows report repeatedly. A null doc_id reports under null.
-* Texts of any length are searched whole; extra columns are ignored; an empty table gives an empty result.
+* Texts of any length are searched whole, in time that grows with the length; extra columns are ignored; an empty table
+  gives an empty result.
+* What counts as structure is bounded as in the encodings: DER that nests deeper than 12 levels (no key format passes 6)
+  and key markers whose label has over 40 characters before PRIVATE KEY (the longest in use has 10) are no keys.
 """
 
 from __future__ import annotations
@@ -39,11 +42,11 @@ MARK = re.compile(r"-----(BEGIN|END) ([A-Z0-9 ]{0,40}PRIVATE KEY)-----")
 FIRST = r"(?:(?<![A-Za-z0-9+/_-])(?!(?<=\\)[nrt])|(?<=\\[nrt]))"
 RUN = re.compile(FIRST + r"[A-Za-z0-9+/]{40,}={0,2}")
 #: A line break, real or escaped, with the quote marks and signs around it that join or quote lines.
-BREAK = r"(?:[\"'`]?[ \t]*[+,\\]?[ \t]*\r?\n|(?:\\+[nr])+[\"'`]?[ \t]*[+,\\]?[ \t]*(?:\r?\n)?)[ \t>#*|\"'`]*"
-WRAPPED = re.compile(FIRST + r"[A-Za-z0-9+/]{40,}(?:" + BREAK + r"[A-Za-z0-9+/]+)+")
+BREAK = r"(?:[\"'`]?[ \t]*+[+,\\]?[ \t]*+\r?\n|(?:\\++[nr])++[\"'`]?[ \t]*+[+,\\]?[ \t]*+(?:\r?\n)?)[ \t>#*|\"'`]*+"
+WRAPPED = re.compile(FIRST + r"[A-Za-z0-9+/]{40,}+(?:" + BREAK + r"[A-Za-z0-9+/]++)+")
 LINE = re.compile(r"([A-Za-z0-9+/]+)(?:" + BREAK + r"|\Z)")
 KEY_ID = re.compile(r"(?<![A-Z0-9])((?:AKIA|ASIA|ABIA|ACCA)[A-Z2-7]{16})(?![A-Z0-9])")
-ASSIGNED = re.compile(r"(?i)(?<![a-z0-9])((?:[a-z0-9]+[_-])*(?:token|password|passwd|pwd|secret|api[_-]?key|access[_-]?key|private[_-]?key))[\"']?\s{0,3}(?::=|=>|[:=])\s{0,3}[\"']?([A-Za-z0-9+/_-]{12,}={0,2})")
+ASSIGNED = re.compile(r"(?i)(?<![a-z0-9])(token|password|passwd|pwd|secret|api[_-]?key|access[_-]?key|private[_-]?key)[\"']?\s{0,3}(?::=|=>|[:=])\s{0,3}[\"']?([A-Za-z0-9+/_-]{12,}={0,2})")
 #: What Java looks for: a superset of the above.
 CANDIDATE = (
     r"[A-Za-z0-9_-]{8}\.[A-Za-z0-9_-]{2,}\.|PRIVATE KEY-----|[A-Za-z0-9+/]{40}|(?:AKIA|ASIA|ABIA|ACCA)[A-Z2-7]{16}"
@@ -167,7 +170,7 @@ def plain(body: str) -> str:
     """Text between key markers without escapes, joined strings and the signs that quote a line."""
     body = re.sub(r"\\+u([0-9A-Fa-f]{4})", lambda m: chr(int(m[1], 16)), body)
     body = re.sub(r"\\+([rnt/])", lambda m: {"r": "\n", "n": "\n", "t": " ", "/": "/"}[m[1]], body)
-    body = re.sub(r"([\"'`])[ \t]*\+?\s*\+?[ \t]*(?=[\"'`])", "\n", body)
+    body = re.sub(r"([\"'`])[ \t]*+\+?\s*+\+?[ \t]*+(?=[\"'`])", "\n", body)
     return re.sub(r"(?m)^[ \t]*(?:[>#*|\"'`]+[ \t]*)+|^[ \t]*//+[ \t]+", "", body)
 
 
@@ -230,11 +233,13 @@ def unhex(text: str) -> bytes | None:
 
 def scan(text: str) -> list[tuple[int, int, str]]:
     """(start, end, kind) of every confirmed secret, in order."""
-    found: list[tuple[int, int, str]] = []
+    found: list[tuple[int, int, str]] = []  # in order, none over another
 
     def add(start: int, end: int, kind: str | None) -> None:
-        if kind and all(end <= s or start >= e for s, e, _ in found):
-            found.append((start, end, kind))
+        if kind:
+            i = bisect_left(found, (start,))
+            if (not i or found[i - 1][1] <= start) and (i == len(found) or found[i][0] >= end):
+                found.insert(i, (start, end, kind))
 
     for m in JWT.finditer(text):
         add(m.start(), m.end(), token_kind(*m.groups()))
@@ -255,7 +260,7 @@ def scan(text: str) -> list[tuple[int, int, str]]:
         add(m.start(), m.end(), "access_key_id" if len(base64.b32decode(m[1][4:])) == 10 else None)
     for m in ASSIGNED.finditer(text):
         add(m.start(2), m.end(2), "assigned_secret" if opaque(m[2]) else None)
-    return sorted(found)
+    return found
 
 
 def secret_scan(docs: DataFrame) -> DataFrame:
