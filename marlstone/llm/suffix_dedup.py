@@ -205,8 +205,7 @@ def _ties(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 def _rerank(pairs: DataFrame) -> tuple[DataFrame, DataFrame]:
     """Sorts the rank pairs (r1, r2); equal pairs share a rank, and unique ones leave: (k, p, r), and the written table that
     it reads. Equal pairs, however many, are spread over tasks by their positions."""
-    order = ["r1", "r2", "k", "p"]
-    ranked = stash(pairs.repartitionByRange(*order).sortWithinPartitions(*order).mapInArrow(_ties, "k long, p int, r long, r1 long, r2 long, n long"), "rank")
+    ranked = stash(pairs.repartitionByRange("r1", "r2", "k", "p").sortWithinPartitions("r1", "r2").mapInArrow(_ties, "k long, p int, r long, r1 long, r2 long, n long"), "rank")
     runs = ranked.where("n IS NOT NULL").select("r", "r1", "r2", "n").orderBy("r").collect()  # two a task at the most
     fix, i = [], 0
     while i < len(runs):
@@ -221,7 +220,7 @@ def _rerank(pairs: DataFrame) -> tuple[DataFrame, DataFrame]:
     return rows.where("known IS NULL OR new IS NOT NULL").select("k", "p", F.coalesce("new", "r").alias("r")), ranked
 
 
-def repeated_passages(docs: DataFrame, threshold: int = 50, base: int = 4, anchor: int = 16) -> DataFrame:
+def repeated_passages(docs: DataFrame, threshold: int = 50, base: int = 16, anchor: int = 16) -> DataFrame:
     """(doc_id, n_words, repeated_words, spans) for every document with a repeat of at least threshold words."""
     base, anchor = max(1, min(base, threshold)), max(1, min(anchor, threshold))
     keyed = docs.select(F.col("doc_id").alias("d"), F.xxhash64("doc_id", "text").alias("k"), F.col("text").alias("t"))
