@@ -203,17 +203,30 @@ def _met(starts: np.ndarray, ends: np.ndarray, node, x, y, part, sig: np.ndarray
             hit = (sig[i] == sig[j]).sum(1) >= least
             hit &= (x[i] == y[i]) | (part[i] != part[j])
             i, j = i[hit], j[hit]
-            if len(i):
-                own = np.zeros(len(i), bool)
-                for c in range(0, len(i), 2048):
-                    p, q = mine[i[c : c + 2048]], mine[j[c : c + 2048]]
-                    both = (p[:, :, None] == q[:, None, :]).any(2) & (p < node[i[c : c + 2048], None])
-                    own[c : c + 2048] = ~both.any(1)
-                if own.any():
-                    yield i[own], j[own]
+            if len(i) and len(own := _first_here(i, j, node, mine)):
+                yield i[own], j[own]
         k += 1
 
 
+def _first_here(i: np.ndarray, j: np.ndarray, node: np.ndarray, mine: np.ndarray) -> np.ndarray:
+    """Which pairs share no leaf before the node that they are met in; mine has the leaves of each row in order. Similar sets
+    share most of their leaves, so nearly all pairs that do are settled by the first leaf or two."""
+    found = []
+    for at in range(0, len(i), 8192):
+        alive = np.arange(at, min(len(i), at + 8192))
+        for t in range(mine.shape[1]):
+            leaf = mine[i[alive], t]
+            early = leaf < node[i[alive]]
+            found.append(alive[~early])
+            alive, leaf = alive[early], leaf[early]
+            if len(alive):
+                alive = alive[~(mine[j[alive]] == leaf[:, None]).any(1)]
+            if not len(alive):
+                break
+        found.append(alive)
+    return np.concatenate(found) if found else np.zeros(0, np.int64)
+
+
 def _bounds(*keys: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     """Starts and ends of the runs of equal keys."""
     new = np.ones(len(keys[0]), bool)
