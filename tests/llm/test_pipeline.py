@@ -14,17 +14,18 @@ SCHEMA = "doc_id long, text string, lang string, source string, n_chars long"
 
 
 def good(text):
-    if not text or not text.strip(" \n\t\r"):
+    ws = re.split(r"[ \n\t\r]+", text or "")
+    visible = sum(map(len, ws))
+    if not visible:
         return False
-    ws = re.split(r"\s+", text)
-    visible = len(text.translate(str.maketrans("", "", " \n\t\r")))
     stutter = sum(a == b for a, b in zip(ws, ws[1:]))
     upper = sum(c.isupper() for c in text)
+    fresh = sum(len(set(ws[i : i + 200])) for i in range(0, len(ws), 200))
     return not (
-        sum(c in quality.SYMBOLS for c in text) > 0.01 * len(text)
+        sum(c in quality.SYMBOLS for c in text) > 0.05 * len(text)
         or (upper >= 20 and upper > 0.3 * visible)
         or (stutter >= 5 and stutter > 0.08 * len(ws))
-        or (len(ws) >= 50 and len(set(ws)) < 0.3 * len(ws))
+        or (len(ws) >= 50 and fresh < 0.4 * len(ws))
         or visible > 60 * len(ws)
     )
 

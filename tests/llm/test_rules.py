@@ -1,5 +1,7 @@
 """Line dedup, mixing and quality rules: against their SQL and on edge rows."""
 
+import functools
+
 import duckdb
 import pytest
 
@@ -65,12 +67,39 @@ def test_rules_on_edge_rows(spark):
 
 def test_order_of_rules_never_changes_the_verdict(spark):
     docs = spark.read.parquet(f"{SF}/documents.parquet")
-    names = list(quality.rules(quality.F.col("text")))
-    a, b = (docs.where(quality.verdict(quality.F.col("text"), order).isNull()).select("doc_id") for order in (names, names[::-1]))
-    assert sorted(map(tuple, a.collect())) == sorted(map(tuple, b.collect()))
-    ranked = quality.measure(docs)
-    gain = [share / seconds for _, seconds, share in ranked]
-    assert gain == sorted(gain, reverse=True) and sorted(n for n, _, _ in ranked) == sorted(names)
+    names = list(quality.NAMES)
+    a, b, c = (docs.where(quality.verdict(quality.F.col("text"), order).isNull()).select("doc_id") for order in (names, names[::-1], names[3:] + names[:3]))
+    alone = docs.where(~functools.reduce(lambda x, y: x | y, [quality.F.coalesce(r, quality.F.lit(False)) for r in quality.rules(quality.F.col("text")).values()])).select("doc_id")
+    assert sorted(map(tuple, a.collect())) == sorted(map(tuple, b.collect())) == sorted(map(tuple, c.collect())) == sorted(map(tuple, alone.collect()))
+    assert sorted(n for n, _, _ in quality.measure(docs)) == sorted(names)
+
+
+def test_cascade_counts_what_earlier_rules_let_pass():
+    """b rejects most but only what a rejects too, at a lower cost; c, which rejects others, comes before it."""
+    held = [({"a", "b"}, 50), ({"c"}, 10), (set(), 40)]
+    got = quality.cascade(held, {"a": 1.0, "b": 1.1, "c": 1.0})
+    assert got == [("a", 1.0, 0.5), ("c", 1.0, 0.2), ("b", 1.1, 0.0)]
+
+
+def test_clean_texts_of_any_length_and_script_stay(spark):
+    docs = spark.read.parquet("/root/testdata/sf0.1/documents.parquet").join(spark.read.parquet("/root/testdata/sf0.1/labels.parquet").where("quality = 1"), "doc_id").where("lang = 'en'")
+    words = " ".join(r.text for r in docs.select("text").collect()).split()
+    rows = [(i, " ".join(words[:n])) for i, n in enumerate((5000, 50_000, 100_000, 200_000))]
+    rows += [(10, "我们在城里买了很多新鲜的水果然后回家做饭，" * 3 + "明天再去河边散步看看老朋友。" * 5), (11, "# Heading of the page\nThe market opens early & closes late, and a bag of fruit costs $3.50 or so.\n| item | price |\n|---|---|\n| apples and pears from the market | $3.50 |\n* first point of the list, 20% off for whoever comes before noon on a weekday\n* second point, without any reduction but with a bag of plums on top of it, which nobody has to take home"), (12, "กรุงเทพมหานครเป็นเมืองหลวงของประเทศไทย" * 4)]
+    bad = [(20, "w" * 70_000), (21, "same words again " * 30_000), (22, "#$%& *|! x" * 5000)]
+    frame = spark.createDataFrame(rows + bad, "doc_id long, text string")
+    got = {r.doc_id: r.keep for r in quality.quality_rules(frame).collect()}
+    assert {d for d, k in got.items() if k} == {d for d, _ in rows}
+
+
+def test_sample_of_many_files(spark, tmp_path, monkeypatch):
+    monkeypatch.setattr(quality, "SAMPLE_FILES", 3)
+    frame = spark.range(2000).selectExpr("id AS doc_id", "concat('text ', id) AS text")
+    frame.repartition(12).write.parquet(str(tmp_path / "many"))
+    many = spark.read.parquet(str(tmp_path / "many"))
+    drawn = quality.draw(many, 100)
+    assert drawn.rdd.getNumPartitions() == 1 and 40 <= drawn.count() <= 250
+    assert 40 <= quality.draw(many.where("doc_id >= 0").distinct(), 100).count() <= 250
 
 
 def test_labels_of_quality(spark):
