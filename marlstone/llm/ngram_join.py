@@ -4,7 +4,8 @@ Every document is the set of its word n-grams. A run splits the sets recursively
 and follows, from each node it is in, the tokens that a seeded hash of (node, token) samples with probability
 1 / (lambda T); sets that sample the same tokens share a node. Similar sets share many tokens and so go down together;
 others part. A node goes on being split until it has at most `bucket` sets, or until no token parts it: it holds
-nine tenths of its parent's sets. Such a node is a leaf, and its sets are compared by brute force. Runs are repeated
+a share of its parent's sets that reaches the threshold, as it does where they are that similar on average, so that most
+pairs are links. Such a node is a leaf, and its sets are compared by brute force. Runs are repeated
 until a pair at the threshold is met, `levels` levels down, with the target recall. Pairs whose sketches come near the
 threshold are verified exactly on the whole sets.
 
@@ -336,7 +337,7 @@ def _links(sets: DataFrame, texts: DataFrame, n: int, threshold: float, recall:
         held.append(nodes)
         small = F.col("c") <= bucket
         if level > 1:
-            small = small | (F.col("c") >= 0.9 * F.col("above"))
+            small = small | (F.col("c") >= threshold * F.col("above"))
         done = nodes.where(small).select("node", "s", "c")
         leaves = done if leaves is None else leaves.unionByName(done)
         open_ = nodes.where(~small)
