@@ -2,19 +2,16 @@
 
 from __future__ import annotations
 
-import tempfile
-
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from ..functions import text as T
+from .store import shared_dir
 
 
 def with_checkpoints(spark: SparkSession, build):
-    """build() with a checkpoint folder: the one that spark.checkpoint.dir names, or a local one only where it is unset."""
-    sc = spark.sparkContext
-    if not sc.getCheckpointDir():
-        sc.setCheckpointDir(spark.conf.get("spark.checkpoint.dir", None) or "file://" + tempfile.mkdtemp(prefix="marlstone-"))
+    """build() with a checkpoint folder: the one that spark.checkpoint.dir names, or a local one where it is unset and the master is local."""
+    shared_dir(spark)
     return build()
 
 

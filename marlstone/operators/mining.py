@@ -2,10 +2,13 @@
 
 from __future__ import annotations
 
+import numpy as np
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from ..functions import text as T
+from .retrieval import block_products
 
 PATTERNS = (("quoted", "[«\"]([^«»\"]{2,60})[»\"]", 1), ("code", r"[A-Z]{2,}-?[0-9]{1,6}", 0), ("date", r"[0-9]{1,2}[./-][0-9]{1,2}[./-][0-9]{2,4}", 0), ("amount", r"[0-9]{4,}", 0), ("proper", r"\p{Lu}\p{Ll}{2,}", 0))
 
@@ -49,13 +52,24 @@ def bridges(chunks: DataFrame, scope: Column, min_co: int = 2, max_df: int = 40)
     return left.join(right, ["scope", "entity"]).where("a < b AND fa <> fb").select("scope", "entity", "a", "b")
 
 
-def pair_similarities(vectors: DataFrame, scope: str | None = None) -> DataFrame:
-    """(a, b, sim) for all pairs a < b, within a scope if one is named."""
-    left = vectors.select(F.col("id").alias("a"), F.col("vec").alias("va"), *([F.col(scope).alias("s")] if scope else []))
-    right = vectors.select(F.col("id").alias("b"), F.col("vec").alias("vb"), *([F.col(scope).alias("s2")] if scope else []))
-    met = left.join(right, (F.col("a") < F.col("b")) & (F.col("s") == F.col("s2"))) if scope else left.crossJoin(right).where("a < b")
-    dot = F.aggregate(F.zip_with("va", "vb", lambda x, y: x.cast("double") * y.cast("double")), F.lit(0.0), lambda s, x: s + x)
-    return met.select(*(["s"] if scope else []), "a", "b", F.round(dot, 6).alias("sim"))
+def pair_similarities(vectors: DataFrame, scope: str | None = None, least: float = -2.0) -> DataFrame:
+    """(a, b, sim) for all pairs a < b at least that similar, within a scope if one is named: block products, of which only
+    those pairs leave."""
+
+    def run(q, qs, c, cs, s):
+        a, b = q.to_numpy(), c.to_numpy()
+        ok = (a[:, None] < b[None, :]) & (s >= least)
+        if scope:
+            ok &= qs[:, None] == cs[None, :]
+        i, j = np.nonzero(ok)
+        return pa.RecordBatch.from_arrays([pa.array(a[i]), pa.array(b[j]), pa.array(s[i, j])], names=["a", "b", "sim"])
+
+    return block_products(vectors, vectors, run, "a long, b long, sim double", scope)
+
+
+def shape_sample(vectors: DataFrame, size: int = 600, seed: str = "shape") -> DataFrame:
+    """(a, b, sim) for all pairs a < b of a drawn sample of vectors."""
+    return pair_similarities(vectors.select("id", "vec", T.unit(F.col("id"), seed).alias("u")).orderBy("u", "id").limit(size))
 
 
 def similarity_shape(pairs: DataFrame) -> DataFrame:
@@ -63,11 +77,27 @@ def similarity_shape(pairs: DataFrame) -> DataFrame:
     return pairs.agg(F.count("*").alias("n_pairs"), F.round(F.avg("sim"), 6).alias("mean"), F.round(F.stddev_pop("sim"), 6).alias("sd"), *ps)
 
 
-def density(pairs: DataFrame, ids: DataFrame, tau: float) -> DataFrame:
-    """(id, density): how many others lie nearer than tau, 0 included."""
-    near = pairs.where(F.col("sim") > tau)
-    both = near.select(F.explode(F.array("a", "b")).alias("id")).groupBy("id").agg(F.count("*").alias("c"))
-    return ids.select("id").join(both, "id", "left").select("id", F.coalesce("c", F.lit(0)).cast("long").alias("density"))
+def density(vectors: DataFrame, tau: float) -> DataFrame:
+    """(id, density): how many others lie nearer than tau, 0 included; counts leave each block product, not pairs."""
+
+    def run(q, qs, c, cs, s):
+        near = (s > tau) & (q.to_numpy()[:, None] != c.to_numpy()[None, :])
+        return pa.RecordBatch.from_arrays([q, pa.array(near.sum(1))], names=["id", "n"])
+
+    return block_products(vectors, vectors, run, "id long, n long").groupBy("id").agg(F.sum("n").alias("density"))
+
+
+def best_by_group(vectors: DataFrame, group: str) -> DataFrame:
+    """(g, donor, best): for every group, a hash of the column, and every vector outside it, its highest similarity to a member."""
+
+    def run(q, qs, c, cs, s):
+        groups, at = np.unique(qs, return_inverse=True)
+        order = np.argsort(at, kind="stable")
+        top = np.maximum.reduceat(s[order], np.searchsorted(at[order], np.arange(len(groups))), axis=0)
+        i, j = np.nonzero(groups[:, None] != cs[None, :])
+        return pa.RecordBatch.from_arrays([pa.array(groups[i]), c.take(pa.array(j)), pa.array(top[i, j])], names=["g", "donor", "best"])
+
+    return block_products(vectors, vectors, run, "g long, donor long, best double", group).groupBy("g", "donor").agg(F.max("best").alias("best"))
 
 
 def kth_similarity(top: DataFrame, k: int) -> DataFrame:

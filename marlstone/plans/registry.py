@@ -50,18 +50,28 @@ def vectors(spark, d):
 
 
 UNIT = "('0x' || substr(md5('{0}:' || {1}), 1, 8))::UBIGINT / 4294967296.0::DOUBLE"
-PAIRS = """pairs AS (SELECT a.vec_id AS a, b.vec_id AS b, a.label AS la, b.label AS lb,
+PAIRS = """pairs AS MATERIALIZED (SELECT a.vec_id AS a, b.vec_id AS b, a.label AS la, b.label AS lb,
   round(list_dot_product(a.embedding::DOUBLE[], b.embedding::DOUBLE[]), 6) AS sim FROM embeddings a JOIN embeddings b ON a.vec_id <> b.vec_id)"""
 STEM = "CASE WHEN length(w) <= 4 OR regexp_matches(w, '^[0-9]+$') THEN w ELSE regexp_replace(w, '^(.{{4,}}?)({})$', '\\1') END".format("|".join(sorted(T.SUFFIXES, key=lambda s: (-len(s), s))))
 WORDS = "words AS (SELECT chunk_id, len(ws) AS dl, ws FROM (SELECT chunk_id, " + TOKENS.format("raw_text") + " AS ws FROM chunks) WHERE len(ws) > 0)"
-BM25 = f"""WITH {CHUNKS}, {WORDS},
-tf AS (SELECT chunk_id, dl, token, count(*) AS tf FROM (SELECT chunk_id, dl, unnest(ws) AS token FROM words) GROUP BY ALL),
+
+
+def stems(text: str) -> str:
+    return f"list_transform({TOKENS.format(text)}, lambda w: {STEM})"
+
+
+def bm25_sql(text: str, queries: str = "SELECT item_id AS query_id, text FROM benchmark", source: str = "chunks") -> str:
+    return f"""words AS MATERIALIZED (SELECT chunk_id, len(ws) AS dl, ws FROM (SELECT chunk_id, {stems(text)} AS ws FROM {source}) WHERE len(ws) > 0),
+tf AS MATERIALIZED (SELECT chunk_id, dl, token, count(*) AS tf FROM (SELECT chunk_id, dl, unnest(ws) AS token FROM words) GROUP BY ALL),
 df AS (SELECT token, count(*) AS df FROM tf GROUP BY token),
 corpus AS (SELECT count(*) AS n, avg(dl) AS avgdl FROM words),
-terms AS (SELECT DISTINCT item_id AS query_id, unnest({TOKENS.format('text')}) AS token FROM benchmark),
-scores AS (SELECT query_id, chunk_id, round(sum(greatest(0, ln((n - df + 0.5) / (df + 0.5) + 1)) * tf * 2.2 / (tf + 1.2 * (1 - 0.75 + 0.75 * dl / avgdl))), 6) AS score
+terms AS (SELECT DISTINCT query_id, unnest({stems('text')}) AS token FROM ({queries})),
+scores AS MATERIALIZED (SELECT query_id, chunk_id, round(sum(greatest(0, ln((n - df + 0.5) / (df + 0.5) + 1)) * tf * 2.2 / (tf + 1.2 * (1 - 0.75 + 0.75 * dl / avgdl))), 6) AS score
   FROM tf JOIN df USING (token) JOIN terms USING (token), corpus GROUP BY ALL),
-ranked AS (SELECT *, row_number() OVER (PARTITION BY query_id ORDER BY score DESC, chunk_id) AS rank FROM scores)"""
+ranked AS MATERIALIZED (SELECT *, row_number() OVER (PARTITION BY query_id ORDER BY score DESC, chunk_id) AS rank FROM scores)"""
+
+
+BM25 = f"WITH {CHUNKS}, {bm25_sql('raw_text')}"
 
 
 @query(f"WITH {CHUNKS} SELECT chunk_id, file_name, idx, concat_ws(chr(10), nullif(title, ''), 'lang: ' || lang || ' | source: ' || source, raw_text) AS passage, CAST(length(raw_text) AS BIGINT) AS n_chars FROM chunks")
@@ -138,6 +148,11 @@ def bow_embedding(spark, d):
     return rows.select("id", F.array_join(F.transform(each, lambda p: F.concat(p["b"].cast("string"), F.lit(":"), F.round(p["x"] * 1e6).cast("long").cast("string"))), " ").alias("vec"))
 
 
+def _gold_chunks(c, b):
+    """(query_id, chunk_id): the chunks that hold a query's text."""
+    return R.containing(c.select("chunk_id", F.col("raw_text").alias("whole")), b.select("query_id", F.col("text").alias("span")))
+
+
 def _bow_ranks(spark, d, k):
     rows = R.bow_embedding(bench(spark, d).select(F.col("query_id").alias("id"), "text"))
     return R.dense_topk(rows, rows, k)
@@ -169,9 +184,9 @@ SELECT item_id AS query_id, round(coalesce(gap, 1), 6) AS gap, CASE WHEN coalesc
 FROM benchmark LEFT JOIN g ON query_id = item_id""")
 def query_gaps(spark, d):
     c, b = chunks(spark, d), bench(spark, d)
-    scores = R.bm25(c, b, k=1 << 30)
-    best = scores.groupBy("query_id").agg(F.max("score").alias("best"))
-    gold = scores.join(c.select("chunk_id", "raw_text"), "chunk_id").join(b, "query_id").where(F.contains("raw_text", "text"))
+    index = R.lexical_index(c)
+    best = R.bm25(c, b, k=1, index=index).select("query_id", F.col("score").alias("best"))
+    gold = R.bm25_pairs(index, c, b, _gold_chunks(c, b))
     gaps = gold.join(best, "query_id").groupBy("query_id").agg(F.min(R.gap(F.col("score"), F.col("best"))).alias("gap"), F.count("*").alias("n_gold"))
     out = b.join(gaps, "query_id", "left")
     g = F.coalesce("gap", F.lit(1.0))
@@ -185,7 +200,7 @@ SELECT query_id, n_gold, n_hit, n_hit < n_gold AS broad, n_hit > 0 AS reached FR
 def gate_broad_reach(spark, d):
     c, b = chunks(spark, d), bench(spark, d)
     top = R.bm25(c, b).select("query_id", "chunk_id", F.lit(1).alias("hit"))
-    gold = c.select("chunk_id", "raw_text").join(R.small(b), F.contains("raw_text", "text")).select("query_id", "chunk_id")
+    gold = _gold_chunks(c, b)
     h = gold.join(top, ["query_id", "chunk_id"], "left").groupBy("query_id").agg(F.count("*").alias("n_gold"), F.count("hit").alias("n_hit"))
     return h.select("query_id", "n_gold", "n_hit", (F.col("n_hit") < F.col("n_gold")).alias("broad"), (F.col("n_hit") > 0).alias("reached"))
 
@@ -200,21 +215,25 @@ def gate_ambiguous(spark, d):
     return band.groupBy("query_id").agg(F.countDistinct("file_name").alias("referents"), (F.countDistinct("file_name") >= 2).alias("ambiguous"))
 
 
-def _pairs(spark, d):
-    return M.pair_similarities(vectors(spark, d))
+SHAPE = f"drawn AS (SELECT vec_id FROM embeddings ORDER BY {UNIT.format('shape', 'vec_id')}, vec_id LIMIT 600), shape AS (SELECT sim FROM pairs WHERE a < b AND a IN (SELECT vec_id FROM drawn) AND b IN (SELECT vec_id FROM drawn))"
+
+
+def _shape(spark, d):
+    return M.shape_sample(vectors(spark, d))
 
 
 @query(f"WITH {PAIRS} SELECT vec_id AS id, CAST(coalesce(n, 0) AS BIGINT) AS density FROM embeddings LEFT JOIN (SELECT a, count(*) AS n FROM pairs WHERE sim > 0.3 GROUP BY a) ON a = vec_id")
 def knn_density(spark, d):
-    return M.density(_pairs(spark, d), vectors(spark, d), 0.3)
+    return M.density(vectors(spark, d), 0.3)
 
 
-@query(f"WITH {PAIRS} SELECT count(*) AS n_pairs, round(avg(sim), 6) AS mean, round(stddev_pop(sim), 6) AS sd, " + ", ".join(f"round(quantile_cont(sim, {p}), 6) AS p{round(p * 100)}" for p in (0.5, 0.8, 0.95, 0.99)) + " FROM pairs WHERE a < b")
+@query(f"WITH {PAIRS}, {SHAPE} SELECT count(*) AS n_pairs, round(avg(sim), 6) AS mean, round(stddev_pop(sim), 6) AS sd, " + ", ".join(f"round(quantile_cont(sim, {p}), 6) AS p{round(p * 100)}" for p in (0.5, 0.8, 0.95, 0.99)) + " FROM shape")
 def similarity_shape(spark, d):
-    return M.similarity_shape(_pairs(spark, d))
+    """All pairs of a drawn sample of 600 vectors, as the sampling operator asks."""
+    return M.similarity_shape(_shape(spark, d))
 
 
-@query(f"""WITH {PAIRS}, r AS (SELECT *, row_number() OVER (PARTITION BY a ORDER BY sim DESC, b) AS rank FROM pairs), k AS (SELECT a AS id, sim AS kth FROM r WHERE rank = 3)
+@query(f"""WITH {PAIRS}, r AS (SELECT *, row_number() OVER (PARTITION BY a ORDER BY sim DESC, b) AS rank FROM pairs), k AS MATERIALIZED (SELECT a AS id, sim AS kth FROM r WHERE rank = 3)
 SELECT p.a, p.b, p.sim, p.sim >= ka.kth OR p.sim >= kb.kth AS co_retrievable FROM pairs p JOIN k ka ON ka.id = p.a JOIN k kb ON kb.id = p.b WHERE p.a < p.b AND p.la = p.lb""")
 def co_retrievable(spark, d):
     v = vectors(spark, d)
@@ -224,37 +243,30 @@ def co_retrievable(spark, d):
     return j.select("a", "b", "sim", ((F.col("sim") >= F.col("ka")) | (F.col("sim") >= F.col("kb"))).alias("co_retrievable"))
 
 
-@query(f"""WITH {PAIRS}, low AS (SELECT quantile_cont(sim, 0.95) AS low FROM pairs WHERE a < b)
+@query(f"""WITH {PAIRS}, {SHAPE}, low AS (SELECT quantile_cont(sim, 0.95) AS low FROM shape)
 SELECT CAST(la AS BIGINT) AS scope, a, b, sim FROM pairs, low WHERE a < b AND la = lb AND sim >= low""")
 def scope_similarity_pairs(spark, d):
-    low = _pairs(spark, d).agg(F.percentile("sim", F.lit(0.95)).alias("low"))
-    pairs = M.pair_similarities(vectors(spark, d), "label").crossJoin(F.broadcast(low))  # low is one row
-    return pairs.where("sim >= low").select(F.col("s").cast("long").alias("scope"), "a", "b", "sim")
+    v = vectors(spark, d)
+    low = _shape(spark, d).agg(F.percentile("sim", F.lit(0.95))).first()[0]
+    pairs = M.pair_similarities(v, "label", 2.0 if low is None else low)
+    return pairs.join(v.select(F.col("id").alias("a"), F.col("label").cast("long").alias("scope")), "a").select("scope", "a", "b", "sim")
 
 
-@query(f"""WITH {PAIRS}, t AS (SELECT quantile_cont(sim, 0.95) AS hi, quantile_cont(sim, 0.8) AS lo FROM pairs WHERE a < b),
+@query(f"""WITH {PAIRS}, {SHAPE}, t AS (SELECT quantile_cont(sim, 0.95) AS hi, quantile_cont(sim, 0.8) AS lo FROM shape),
 best AS (SELECT la AS task, b AS donor, max(sim) AS best FROM pairs WHERE la <> lb GROUP BY ALL)
 SELECT CAST(task AS BIGINT) AS task, donor, best, CASE WHEN best < lo THEN 'far' WHEN best < hi THEN 'band' ELSE 'near' END AS pool FROM best, t""")
 def donor_pools(spark, d):
-    p = _pairs(spark, d)
-    t = p.agg(F.percentile("sim", F.lit(0.95)).alias("hi"), F.percentile("sim", F.lit(0.8)).alias("lo"))
-    labels = vectors(spark, d).select("id", "label")
-    both = p.select("a", "b", "sim").unionByName(p.select(F.col("b").alias("a"), F.col("a").alias("b"), "sim"))
-    j = both.join(labels.select(F.col("id").alias("a"), F.col("label").alias("task")), "a").join(labels.select(F.col("id").alias("b"), F.col("label").alias("own")), "b").where("task <> own")
-    best = j.groupBy("task", F.col("b").alias("donor")).agg(F.max("sim").alias("best")).crossJoin(F.broadcast(t))  # t is one row
-    return best.select(F.col("task").cast("long").alias("task"), "donor", "best", F.when(F.col("best") < F.col("lo"), "far").when(F.col("best") < F.col("hi"), "band").otherwise("near").alias("pool"))
+    v = vectors(spark, d)
+    t = _shape(spark, d).agg(F.percentile("sim", F.lit(0.95)).alias("hi"), F.percentile("sim", F.lit(0.8)).alias("lo"))
+    names = v.select(F.col("label").cast("long").alias("task"), F.xxhash64("label").alias("g")).distinct()
+    best = M.best_by_group(v, "label").join(names, "g").crossJoin(F.broadcast(t))  # t is one row
+    return best.select("task", "donor", "best", F.when(F.col("best") < F.col("lo"), "far").when(F.col("best") < F.col("hi"), "band").otherwise("near").alias("pool"))
 
 
 @query(f"WITH {PAIRS}, r AS (SELECT a AS query_id, b AS id, sim AS score, row_number() OVER (PARTITION BY a ORDER BY sim DESC, b) AS rank FROM pairs WHERE la <> lb) SELECT * FROM r WHERE rank <= 5")
 def hard_negatives(spark, d):
-    from pyspark.sql import Window
-
-    p = _pairs(spark, d)
-    labels = vectors(spark, d).select("id", "label")
-    both = p.unionByName(p.select(F.col("b").alias("a"), F.col("a").alias("b"), "sim"))
-    j = both.join(labels.select(F.col("id").alias("a"), F.col("label").alias("la")), "a").join(labels.select(F.col("id").alias("b"), F.col("label").alias("lb")), "b").where("la <> lb")
-    best = Window.partitionBy("a").orderBy(F.desc("sim"), "b")
-    return j.withColumn("rank", F.row_number().over(best)).where("rank <= 5").select(F.col("a").alias("query_id"), F.col("b").alias("id"), F.col("sim").alias("score"), F.col("rank").cast("long").alias("rank"))
+    v = vectors(spark, d)
+    return R.dense_topk(v, v, 5, other="label")
 
 
 def _docs(spark, d):
@@ -571,7 +583,7 @@ def verbatim_spans(spark, d):
     """Both sides are normalised before the join, once per row rather than once per pair."""
     b = table(spark, d, "benchmark").select("item_id", T.normal(F.col("text")).alias("span")).where("span <> ''")
     c = chunks(spark, d).select("chunk_id", T.normal(F.col("raw_text")).alias("whole"))
-    return c.join(R.small(b), F.contains("whole", "span")).select("item_id", "chunk_id")
+    return R.containing(c, b, "item_id")
 
 
 @query(f"""WITH t AS (SELECT a.conv_id, a.turn, a.text AS q, b.text AS a FROM conversations a JOIN conversations b ON a.conv_id = b.conv_id AND b.turn = a.turn + 1),
@@ -601,7 +613,7 @@ DENSITY = f"{PAIRS}, density AS (SELECT vec_id AS id, CAST(coalesce(n, 0) AS BIG
 
 
 def _density(spark, d):
-    return M.density(_pairs(spark, d), vectors(spark, d), 0.1)
+    return M.density(vectors(spark, d), 0.1)
 
 
 @query(f"WITH {DENSITY}, s AS (SELECT CAST(floor(('0x' || substr(md5('g:' || k || ':' || id), 1, 8))::UBIGINT / 4294967296.0::DOUBLE * 2000) AS BIGINT) AS set, density FROM density, range(3) r(k)) SELECT set, min(density) AS density FROM s GROUP BY set")
@@ -619,7 +631,7 @@ o AS (SELECT chunk_id, min(query_id) AS owner FROM gold GROUP BY chunk_id)
 SELECT t.query_id, count(g.query_id) AS own, CAST(sum(CASE WHEN g.query_id IS NULL AND owner IS NOT NULL THEN 1 ELSE 0 END) AS BIGINT) AS foreign FROM top t LEFT JOIN gold g ON g.query_id = t.query_id AND g.chunk_id = t.chunk_id LEFT JOIN o ON o.chunk_id = t.chunk_id GROUP BY t.query_id""")
 def isolation_hits(spark, d):
     c, b = chunks(spark, d), bench(spark, d)
-    gold = c.select("chunk_id", "raw_text").join(R.small(b), F.contains("raw_text", "text")).select("query_id", "chunk_id")
+    gold = _gold_chunks(c, b)
     return J.isolation(R.bm25(c, b).select("query_id", "chunk_id"), gold)
 
 
