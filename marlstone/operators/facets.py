@@ -2,24 +2,33 @@
 
 from __future__ import annotations
 
+import re
 from functools import reduce
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from ..functions.records import number
+
 NUM = {"eq", "neq", "lt", "lte", "gt", "gte", "between", "in", "not_in"}
 DATE = {"eq", "neq", "lt", "lte", "gt", "gte", "between", "prefix", "month_in", "month_not_in"}
+EDGE = "[…\"'«»“”„ ]+"
 CAT = {"eq", "neq", "in", "not_in", "prefix"}
 
 
 def facet_text(value: Column) -> Column:
-    """How categorical values compare: lower case, white space collapsed, no trailing dots or quotes."""
-    return F.regexp_replace(F.regexp_replace(F.trim(F.lower(value)), r"\s+", " "), "[…\"'»]+$", "")
+    """How categorical values compare: lower case, white space collapsed, no ellipsis, quotes or spaces at either end."""
+    return F.regexp_replace(F.regexp_replace(F.lower(value), r"\s+", " "), f"^{EDGE}|{EDGE}$", "")
+
+
+def facet_value(value: str) -> str:
+    """A filter's value as facet_text has a column's."""
+    return re.sub(f"^{EDGE}|{EDGE}$", "", re.sub(r"\s+", " ", value.lower()))
 
 
 def equal_text(a: Column, b: str) -> Column:
     """Equality that tolerates a cut-off value: from 16 characters on, one may be a prefix of the other."""
-    b = b.lower().strip()
+    b = facet_value(b)
     near = (F.length(a) >= 16) & F.lit(len(b) >= 16) & (F.startswith(a, F.lit(b)) | F.startswith(F.lit(b), a))
     return (a == b) | near
 
@@ -34,10 +43,12 @@ def constraint(field: str, op: str, value, kinds: dict[str, str]) -> Column:
         raise ValueError(f"{op} isn't for {kind} fields")
     if op in ("in", "not_in", "month_in", "month_not_in", "between") and not isinstance(value, (list, tuple)):
         raise ValueError(f"{op} takes a list")
+    if isinstance(value, (list, tuple)) and not value:
+        raise ValueError(f"{op} takes a list that isn't empty")
     if op == "between" and len(value) != 2:
         raise ValueError("between takes two values")
     if kind in ("num", "num_text"):
-        x = F.col(field) if kind == "num" else F.col(field).try_cast("double")
+        x = F.col(field) if kind == "num" else number(F.col(field))
         value = [float(v) for v in value] if isinstance(value, (list, tuple)) else float(value)
     elif kind == "date":
         x = F.substring(F.col(field), 1, 10)
@@ -48,7 +59,7 @@ def constraint(field: str, op: str, value, kinds: dict[str, str]) -> Column:
         hit = month.isin([int(v) for v in value])
         hit = hit if op == "month_in" else ~hit
     elif op == "prefix":
-        hit = F.startswith(x, F.lit(str(value).lower() if kind == "cat" else str(value)))
+        hit = F.startswith(x, F.lit(facet_value(str(value)) if kind == "cat" else str(value)))
     elif kind == "cat":
         values = value if isinstance(value, (list, tuple)) else [value]
         hit = reduce(lambda a, b: a | b, [equal_text(x, str(v)) for v in values], F.lit(False))

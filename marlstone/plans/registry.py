@@ -33,11 +33,17 @@ def query(sql: str | None = None):
     return add
 
 
+def _load():
+    from . import records, tasks  # noqa: F401, they register their queries here
+
+
 def queries():
+    _load()
     return dict(Q)
 
 
 def oracle_sql():
+    _load()
     return dict(S)
 
 

@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import io
 import zipfile
+import zlib
 from collections.abc import Iterator
 from xml.etree import ElementTree
 
@@ -25,17 +26,22 @@ def read_jsonl(spark: SparkSession, path: str, schema: str) -> DataFrame:
 
 
 def read_chunks(spark: SparkSession, path: str) -> DataFrame:
-    """Chunks of .jsonl files, or of .json files that hold one array or object each; a folder is read recursively.
+    """Chunks of .jsonl files, and of other files that hold an array, an object or lines of JSON, told by how they begin; a folder
+    is read recursively.
 
     Every key that isn't a core field goes into meta; rows without file_name, index or text are skipped, and so are lines that
     are no JSON. Of rows with one chunk_id the first by file and position in it stays.
     """
-    lines = spark.read.option("recursiveFileLookup", True).option("pathGlobFilter", "*.jsonl").text(path) if not path.endswith(".json") else None
-    if lines is None or lines.isEmpty():
-        whole = spark.read.option("recursiveFileLookup", True).option("wholetext", True).text(path)
-        many = F.from_json("value", "array<string>")
-        lines = whole.select(F.explode(F.coalesce(many, F.array("value"))).alias("value"))
-    kept = lines.select("value", F.from_json("value", CORE).alias("c"), F.from_json("value", "map<string,string>").alias("m"), F.monotonically_increasing_id().alias("o"))
+    where = F.struct(F.col("_metadata.file_path").alias("f"), F.col("_metadata.file_block_start").alias("b"), F.monotonically_increasing_id().alias("i"))
+    files = spark.read.option("recursiveFileLookup", True)
+    whole = F.lit(False) if path.endswith(".jsonl") else ~F.col("_metadata.file_path").endswith(".jsonl")
+    rows = files.text(path).where(~whole).select("value", where.alias("o"), F.lit(0).alias("j"))
+    if not path.endswith(".jsonl"):
+        # Whole files hold one array or object, or, whatever their name, lines of JSON.
+        docs = files.option("wholetext", True).text(path).where(whole).select(F.trim("value").alias("value"), where.alias("o"))
+        parts = F.when(F.startswith("value", F.lit("[")), F.from_json("value", "array<string>")).when(F.from_json("value", CORE)["file_name"].isNotNull() & ~F.col("value").rlike(r"\}\s*\n\s*\{"), F.array("value")).otherwise(F.split("value", "\n"))
+        rows = rows.unionByName(docs.select(F.posexplode(parts).alias("j", "value"), "o").select("value", "o", "j"))
+    kept = rows.select("value", F.from_json("value", CORE).alias("c"), F.from_json("value", "map<string,string>").alias("m"), F.struct("o", "j").alias("o"))
     kept = kept.where("c.file_name IS NOT NULL AND c.index IS NOT NULL AND c.raw_text IS NOT NULL")
     names = [x.split()[0] for x in CORE.split(", ")]
     out = kept.select(
@@ -52,18 +58,19 @@ def read_chunks(spark: SparkSession, path: str) -> DataFrame:
 
 
 def with_sidecar(chunks: DataFrame, sidecar: DataFrame) -> DataFrame:
-    """chunks with the entries of sidecar (chunk_id, meta) laid over their own; the last of several rows wins."""
-    last = sidecar.withColumn("o", F.monotonically_increasing_id()).groupBy("chunk_id").agg(F.max_by("meta", "o").alias("over"))
+    """chunks with the entries of sidecar (chunk_id, meta) laid over their own; the last of several rows wins, by its column
+    ord if there is one, else in the order in which its files and rows are read."""
+    last = sidecar.withColumn("o", F.col("ord") if "ord" in sidecar.columns else F.monotonically_increasing_id()).groupBy("chunk_id").agg(F.max_by("meta", "o").alias("over"))
     joined = chunks.join(last, "chunk_id", "left")
     own = F.map_filter("meta", lambda k, v: F.col("over").isNull() | ~F.map_contains_key("over", k))
     return joined.withColumn("meta", F.when(F.col("over").isNull(), F.col("meta")).otherwise(F.map_concat(own, "over"))).drop("over")
 
 
 def detect_profile(header: list[str], profiles: dict[str, dict[str, str]]) -> str | None:
-    """The first profile (canonical -> source column) of which at least 3 and half of the columns are in the header."""
+    """The first profile (canonical -> source column) of which at least 3 columns and half of them, rounded down, are in the header."""
     seen = {h.strip() for h in header}
     for name, mapping in profiles.items():
-        if len(seen & set(mapping.values())) >= max(3, len(mapping) / 2):
+        if len(seen & set(mapping.values())) >= max(3, len(mapping) // 2):
             return name
     return None
 
@@ -94,10 +101,15 @@ def unpack(data: bytes, name: str, depth: int = 3) -> Iterator[tuple[str, bytes]
             return
         try:
             archive = zipfile.ZipFile(io.BytesIO(data))
-            for inner in sorted(archive.namelist()):
-                yield from unpack(archive.read(inner), f"{name}!{inner}", depth - 1)
-        except (zipfile.BadZipFile, RuntimeError, NotImplementedError):
+            members = sorted(archive.namelist())
+        except zipfile.BadZipFile:
             return
+        for inner in members:
+            try:
+                held = archive.read(inner)
+            except (zipfile.BadZipFile, zlib.error, EOFError, OSError, ValueError, RuntimeError, NotImplementedError):
+                continue
+            yield from unpack(held, f"{name}!{inner}", depth - 1)
     elif name.lower().endswith(".xml"):
         yield name, data
 
