@@ -69,6 +69,22 @@ def leave_one_out(facts: list, solvable: Callable[[list], bool], floor: int = 2)
     return facts
 
 
+def minimise(tasks: DataFrame, share: float, floor: int = 2) -> DataFrame:
+    """(task, facts): leave_one_out for each task (task, xs array<struct<fact, w>>), where facts are solvable that hold at least
+    that share of the task's weight. A task has a handful of facts."""
+
+    def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        for batch in batches:
+            out = []
+            for task, xs in zip(batch["task"], batch["xs"]):
+                facts = [(x["fact"], x["w"]) for x in xs]
+                need = share * sum(w for _, w in facts)
+                out.append((task, ",".join(str(f) for f, _ in leave_one_out(facts, lambda rest: sum(w for _, w in rest) >= need, floor))))  # noqa: B023
+            yield pd.DataFrame(out, columns=["task", "facts"])
+
+    return tasks.select("task", "xs").mapInPandas(run, "task long, facts string")
+
+
 def echo_free(phrases: Column) -> Column:
     """Phrases without those that an earlier kept one equals or contains, ignoring case."""
     return F.aggregate(phrases, F.array().cast("array<string>"), lambda kept, p: F.when((p == "") | F.exists(kept, lambda k: F.contains(F.lower(k), F.lower(p))), kept).otherwise(F.concat(kept, F.array(p))))

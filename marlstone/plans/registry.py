@@ -34,7 +34,7 @@ def query(sql: str | None = None):
 
 
 def _load():
-    from . import records, tasks  # noqa: F401, they register their queries here
+    from . import records, stages, tasks  # noqa: F401, they register their queries here
 
 
 def queries():

@@ -38,7 +38,7 @@ def read_chunks(spark: SparkSession, path: str) -> DataFrame:
     rows = files.text(path).where(~whole).select("value", where.alias("o"), F.lit(0).alias("j"))
     if not path.endswith(".jsonl"):
         # Whole files hold one array or object, or, whatever their name, lines of JSON.
-        docs = files.option("wholetext", True).text(path).where(whole).select(F.trim("value").alias("value"), where.alias("o"))
+        docs = files.text(path, wholetext=True).where(whole).select(F.trim("value").alias("value"), where.alias("o"))
         parts = F.when(F.startswith("value", F.lit("[")), F.from_json("value", "array<string>")).when(F.from_json("value", CORE)["file_name"].isNotNull() & ~F.col("value").rlike(r"\}\s*\n\s*\{"), F.array("value")).otherwise(F.split("value", "\n"))
         rows = rows.unionByName(docs.select(F.posexplode(parts).alias("j", "value"), "o").select("value", "o", "j"))
     kept = rows.select("value", F.from_json("value", CORE).alias("c"), F.from_json("value", "map<string,string>").alias("m"), F.struct("o", "j").alias("o"))
