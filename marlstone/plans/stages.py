@@ -36,8 +36,10 @@ def gate_solve(spark, d):
 
 
 @query(f"""{probe_sql(FACTS)}, own AS (SELECT query_id * 10 + part AS fact_id, chunk_id FROM tk), top AS MATERIALIZED (SELECT query_id AS fact_id, chunk_id FROM hits WHERE rank <= 8),
-sim AS (SELECT t.fact_id, t.chunk_id, round(sum(a.x * b.x), 6) AS s FROM top t JOIN own o ON o.fact_id = t.fact_id JOIN cv a ON a.id = o.chunk_id JOIN cv b ON b.id = t.chunk_id AND b.b = a.b GROUP BY ALL),
-ok AS (SELECT s.fact_id, s.chunk_id, len(list_intersect({TOKENS.format('p.passage')}, {TOKENS.format('q.text')})) / len(list_distinct({TOKENS.format('q.text')})) >= 0.75 AS ok FROM sim s JOIN passages p ON p.chunk_id = s.chunk_id JOIN qs q ON q.query_id = s.fact_id WHERE s.s >= 0.55)
+src AS MATERIALIZED (SELECT t.fact_id, t.chunk_id, a.b, a.x FROM top t JOIN own o ON o.fact_id = t.fact_id JOIN cv a ON a.id = o.chunk_id),
+sim AS MATERIALIZED (SELECT src.fact_id, src.chunk_id, round(sum(src.x * b.x), 6) AS s FROM src JOIN cv b ON b.id = src.chunk_id AND b.b = src.b GROUP BY ALL),
+pw AS MATERIALIZED (SELECT chunk_id, {TOKENS.format('passage')} AS ws FROM passages WHERE chunk_id IN (SELECT chunk_id FROM top)), qw AS MATERIALIZED (SELECT query_id, {TOKENS.format('text')} AS ws FROM qs),
+ok AS (SELECT s.fact_id, s.chunk_id, len(list_intersect(p.ws, q.ws)) / len(list_distinct(q.ws)) >= 0.75 AS ok FROM sim s JOIN pw p ON p.chunk_id = s.chunk_id JOIN qw q ON q.query_id = s.fact_id WHERE s.s >= 0.55)
 SELECT fact_id, chunk_id FROM ok WHERE ok UNION SELECT fact_id, chunk_id FROM own""")
 def fact_groups(spark, d):
     """The chunks that carry a fact: its source, and hits of its probe that are like the source and entail it."""
