@@ -26,6 +26,15 @@ def stem(token: Column, suffixes: tuple[str, ...] = SUFFIXES) -> Column:
     return F.when((F.length(token) <= 4) | token.rlike("^[0-9]+$"), token).otherwise(cut)
 
 
+def stemmed(word: str, suffixes: tuple[str, ...] = tuple(sorted(SUFFIXES, key=lambda s: (-len(s), s)))) -> str:
+    """stem for one word, where words are at hand one by one."""
+    if len(word) > 4 and not (word.isascii() and word.isdigit()):
+        for s in suffixes:
+            if len(word) - len(s) >= 4 and word.endswith(s):
+                return word[: -len(s)]
+    return word
+
+
 def normal(text: Column) -> Column:
     """Lower case, white space collapsed."""
     return F.regexp_replace(F.trim(F.lower(text)), r"\s+", " ")
