@@ -2,14 +2,19 @@
 
 import io
 import json
+import math
 import random
 import zipfile
 
+import numpy as np
+import pyarrow as pa
 import pytest
 from pyspark.sql import functions as F
 
 from marlstone.functions import records as G
+from marlstone.operators import dedup as D
 from marlstone.operators import facets as A
+from marlstone.operators import mining as M
 from marlstone.operators import retrieval as R
 from marlstone.operators import sequential as X
 from marlstone.operators import stages as ST
@@ -232,3 +237,62 @@ def test_a_corrupt_member_is_skipped():
     at = data.find(b"a.xml") + 5
     data[at : at + 8] = b"\xff" * 8
     assert [n for n, _ in readers.unpack(bytes(data), "z.zip")] == ["z.zip!b.xml"]
+
+
+def test_best_of_streams_equal_a_plain_sort(spark):
+    from marlstone.operators import nearest as N
+
+    rng = np.random.default_rng(3)
+    c, q = rng.integers(0, 3, (3000, 8)).astype(float), rng.integers(0, 3, (700, 8)).astype(float)
+    q[5] = 0
+    names = [f"c{i}" for i in rng.permutation(3000)]
+    for k in (1, 7):
+        best = N.Best(700, k)
+        for s in (0, 40, 1500):
+            e = {0: 40, 40: 1500}.get(s, 3000)
+            N.offer(best, c[s:e], q, q.astype(np.float32), pa.array(names[s:e]), True)
+        got: dict = {}
+        for batch in best.rows(pa.array(np.arange(700)), ["q", "id", "s"]):
+            for r in batch.to_pylist():
+                got.setdefault(r["q"], []).append((-r["s"], r["id"]))
+        full = np.round(q @ c.T, 6)
+        assert 5 not in got
+        for i in range(700):
+            assert got.get(i, []) == sorted((-s, n) for s, n in zip(full[i], names) if s > 0)[:k]
+
+
+def test_index_rows_hold_one_chunk_each(spark):
+    """Packed rows of a thousand chunks made a reader decode whole files at once."""
+    docs = spark.createDataFrame([(f"c{i}", "one two two three") for i in range(50)], "chunk_id string, raw_text string")
+    rows = R.lexical_index(docs).collect()
+    assert len(rows) == 50 and all(len(r.tok) == 3 and sorted(r.tf) == [1, 1, 2] for r in rows)
+
+
+def test_vectors_in_turn(spark):
+    rng = np.random.default_rng(5)
+    v = np.round(rng.normal(size=(90, 4)), 1)
+    v[:30] /= 4
+    rows = spark.createDataFrame([(i, [float(x) for x in v[i]], None if i == 7 else i % 3) for i in range(90)], "id long, vec array<double>, label long")
+    s = np.round(v @ v.T, 6)
+    near = (s > 0.5) & ~np.eye(90, dtype=bool)
+    count = lambda df: {r.id: r.n for r in df.groupBy("id").agg(F.sum("n").alias("n")).collect()}
+    assert {r.id: r.density for r in M.density(rows, 0.5).collect()} == dict(enumerate(near.sum(1).tolist()))
+    ran = R.past_vectors(rows, lambda ids, q, marks: lambda own, c, mark: iter([pa.RecordBatch.from_arrays([pa.array(own), pa.array(np.full(len(own), len(q)))], names=["id", "n"])]), "id long, n long", held=11)
+    assert count(ran) == {i: 90 for i in range(90)}
+    named = {r.g: r.label for r in rows.select("label", F.xxhash64("label").alias("g")).distinct().collect()}
+    got = {(named[r.g], r.donor): r.best for r in M.best_by_group(rows, "label").collect()}
+    label = [None if i == 7 else i % 3 for i in range(90)]
+    assert got == {(g, d): max(s[i, d] for i in range(90) if label[i] == g) for g in range(3) for d in range(90) if label[d] not in (None, g)}
+    pairs = {(r.a, r.b): (r.sim, r.va) for r in M.pair_similarities(rows, "label", 0.3, "label").collect()}
+    assert pairs == {(a, b): (s[a, b], label[a]) for a in range(90) for b in range(a + 1, 90) if label[a] is not None and label[a] == label[b] and s[a, b] >= 0.3}
+    top = {(r.query_id, r["rank"]): r.id for r in R.dense_topk(rows, rows, 3, other="label", block=40).collect()}
+    assert top == {(a, n): b for a in range(90) if a != 7 for n, (_, b) in enumerate(sorted((-s[a, b], b) for b in range(90) if label[b] not in (None, label[a]))[:3], 1)}
+
+
+def test_facts_of_an_order_have_no_cap(spark, tmp_path):
+    from marlstone.plans import registry
+
+    rows = [(1, part, line) for part in range(30) for line in (1, 2, 3, 4)]
+    spark.createDataFrame(rows, "l_orderkey long, l_partkey long, l_linenumber int").write.parquet(str(tmp_path / "lineitem.parquet"))
+    got = sorted((r.part, r.line) for r in registry.queries()["facts_json"](spark, str(tmp_path)).collect())
+    assert got == [(part, line) for _, part, line in sorted(rows) if line <= 3]
