@@ -4,8 +4,10 @@ from __future__ import annotations
 
 import json
 from collections.abc import Callable, Iterator
+from decimal import ROUND_HALF_UP, Decimal
 
 import pandas as pd
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -14,24 +16,32 @@ BINS = ("low", "mid", "high")
 
 def datamix_select(rows: DataFrame, target: tuple[float, float, float] = (0.3, 0.4, 0.3)) -> DataFrame:
     """(batch, id, bin): per batch, in order, the candidate whose bin is furthest below its target share of the picks so far;
-    ties by larger gap, then id. The state is three counters, so one fold over the compact candidates does it."""
-    cands = F.array_sort(F.collect_list(F.struct(F.col("gap"), F.col("id"), F.col("bin"))))
-    batches = rows.groupBy("batch").agg(cands.alias("cs")).agg(F.array_sort(F.collect_list(F.struct("batch", "cs"))).alias("bs"))
-    start = F.struct(F.array(*[F.lit(0)] * 3).alias("n"), F.array().cast("array<struct<batch:bigint,id:bigint,bin:string>>").alias("out"))
-    place = lambda b: F.when(b == "low", 0).when(b == "mid", 1).otherwise(2)
-    goal = F.array(*[F.lit(t) for t in target])
-
-    def step(s, b):
-        total = F.get(s["n"], 0) + F.get(s["n"], 1) + F.get(s["n"], 2)
-        share = lambda c: F.when(total == 0, 0.0).otherwise(F.get(s["n"], place(c["bin"])) / total)
-        ranked = F.transform(b["cs"], lambda c: F.struct(F.round(F.get(goal, place(c["bin"])) - share(c), 6).alias("w"), c["gap"].alias("gap"), c["id"].alias("id"), c["bin"].alias("bin")))
-        best = F.array_max(ranked)
-        return F.struct(
-            F.transform(s["n"], lambda v, i: v + F.when(i == place(best["bin"]), 1).otherwise(0)).alias("n"),
-            F.concat(s["out"], F.array(F.struct(b["batch"].alias("batch"), best["id"].alias("id"), best["bin"].alias("bin")))).alias("out"),
-        )
-
-    return batches.select(F.explode(F.aggregate("bs", start, step)["out"]).alias("x")).select("x.*")
+    ties by larger gap, then id. Within a bin the best candidate of a batch doesn't depend on the picks, so at most three are
+    left of each batch; one task streams through those in order and holds three counters."""
+    place = F.when(F.col("bin") == "low", 0).when(F.col("bin") == "mid", 1).otherwise(2)
+    best = [F.max(F.when(place == i, F.struct("gap", "id", "bin"))).alias(f"c{i}") for i in range(3)]
+    few = rows.select("batch", F.col("gap").cast("double").alias("gap"), F.col("id").cast("long").alias("id"), "bin").groupBy("batch").agg(*best)
+    flat = few.select(F.col("batch").cast("long").alias("batch"), *[F.col(f"c{i}").isNotNull().alias(f"has{i}") for i in range(3)], *[F.col(f"c{i}.{f}").alias(f"{f}{i}") for i in range(3) for f in ("gap", "id", "bin")])
+    cent = Decimal("0.000001")
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        n = [0, 0, 0]
+        for batch in batches:
+            x = {name: batch.column(name).to_pylist() for name in batch.schema.names}
+            ids, bins = [], []
+            for r in range(batch.num_rows):
+                here = [i for i in range(3) if x[f"has{i}"][r]]
+                if len(here) > 1:
+                    total = sum(n)
+                    below = {i: Decimal(repr(target[i] - (n[i] / total if total else 0.0))).quantize(cent, ROUND_HALF_UP) for i in here}
+                    here.sort(key=lambda i: (below[i], *[(v is not None, v or 0) for v in (x[f"gap{i}"][r], x[f"id{i}"][r])]))  # noqa: B023
+                i = here[-1]
+                n[i] += 1
+                ids.append(x[f"id{i}"][r])
+                bins.append(x[f"bin{i}"][r])
+            yield pa.RecordBatch.from_arrays([batch.column("batch"), pa.array(ids, pa.int64()), pa.array(bins, pa.string())], names=["batch", "id", "bin"])
+
+    return flat.repartition(1).sortWithinPartitions("batch").mapInArrow(run, "batch long, id long, bin string")
 
 
 def disjoint_pairs(pairs: DataFrame, group: str, order: list[str], limit: int) -> DataFrame:

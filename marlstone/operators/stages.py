@@ -4,10 +4,12 @@ from __future__ import annotations
 
 import hashlib
 import json
+import math
 import time
 from collections.abc import Callable, Iterator
 
 import pandas as pd
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
@@ -167,12 +169,18 @@ def vetoes(facts: DataFrame, task: str, doc: str, weight: str, order: str) -> Da
 
 def densify(tasks: DataFrame, scope: str, order: str, density: str, goal: float, most: int) -> DataFrame:
     """(id, add): how many chunks each task injects to lift its density to goal, at most `most`, where what tasks before it in
-    the scope injected counts for it too. A fold over the ordered tasks of each scope."""
-    start = F.struct(F.lit(0).cast("long").alias("sum"), F.array().cast("array<struct<id:bigint,add:bigint>>").alias("out"))
+    the scope injected counts for it too. The ordered tasks of a scope stream through one task, which holds their sum."""
 
-    def step(s, x):
-        add = F.least(F.greatest(F.ceil(F.lit(goal) - x["v"] - s["sum"]), F.lit(0)), F.lit(most)).cast("long")
-        return F.struct((s["sum"] + add).alias("sum"), F.concat(s["out"], F.array(F.struct(x["id"].alias("id"), add.alias("add")))).alias("out"))
-
-    xs = F.array_sort(F.collect_list(F.struct(F.col(order).alias("o"), F.col("id").cast("long").alias("id"), F.col(density).cast("double").alias("v"))))
-    return tasks.groupBy(scope).agg(F.aggregate(xs, start, step)["out"].alias("xs")).select(F.explode("xs").alias("x")).select("x.*")
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        at, total = None, 0
+        for batch in batches:
+            adds = []
+            for s, v in zip(batch.column("s").to_pylist(), batch.column("v").to_pylist()):
+                if at is None or s != at[0]:
+                    at, total = (s,), 0
+                adds.append(0 if v is None else int(min(max(math.ceil(goal - v - total), 0), most)))
+                total += adds[-1]
+            yield pa.RecordBatch.from_arrays([batch.column("id"), pa.array(adds, pa.int64())], names=["id", "add"])
+
+    rows = tasks.select(F.col(scope).alias("s"), F.col(order).alias("o"), F.col("id").cast("long").alias("id"), F.col(density).cast("double").alias("v"))
+    return rows.repartition("s").sortWithinPartitions("s", "o", "id", "v").select("s", "id", "v").mapInArrow(run, "id long, add long")

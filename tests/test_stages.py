@@ -296,3 +296,12 @@ def test_facts_of_an_order_have_no_cap(spark, tmp_path):
     spark.createDataFrame(rows, "l_orderkey long, l_partkey long, l_linenumber int").write.parquet(str(tmp_path / "lineitem.parquet"))
     got = sorted((r.part, r.line) for r in registry.queries()["facts_json"](spark, str(tmp_path)).collect())
     assert got == [(part, line) for _, part, line in sorted(rows) if line <= 3]
+
+
+def test_long_folds_stay_linear(spark):
+    """60,000 picks and 60,000 tasks of one scope: lists that grow at every step took minutes."""
+    picks = X.datamix_select(spark.range(120_000).selectExpr("id div 2 AS batch", "id", "cast(id % 97 AS double) AS gap", "element_at(array('low', 'mid', 'high'), cast(id * 7 % 3 AS int) + 1) AS bin"))
+    shares = {r.bin: r["count"] / 60_000 for r in picks.groupBy("bin").count().collect()}
+    assert shares == pytest.approx({"low": 0.3, "mid": 0.4, "high": 0.3}, abs=0.01)
+    tasks = spark.range(60_000).selectExpr("id", "1 AS s", "cast(id % 5 AS double) AS v")
+    assert ST.densify(tasks, "s", "id", "v", 30.0, 15).groupBy().agg(F.count("*").alias("n"), F.sum("add").alias("add")).first().asDict() == {"n": 60_000, "add": 30}
