@@ -319,3 +319,14 @@ def test_pairs_of_many_copies_leave_once(spark):
     sets = {i: gram(t) for i, t in data}
     assert len(got) == 700 * 699 // 2 + 1 and found.count() == len(got)
     assert all(got[p] == pytest.approx(len(sets[p[0]] & sets[p[1]]) / len(sets[p[0]] | sets[p[1]]), abs=1e-6) for p in list(got)[::37])
+
+
+def test_repeated_orders_and_lines_join_once(spark, tmp_path):
+    from marlstone.plans import registry
+
+    spark.range(40).selectExpr("1 AS o_orderkey", "7 AS o_custkey").write.parquet(str(tmp_path / "orders.parquet"))
+    spark.range(400).selectExpr("1 AS l_orderkey", "id % 8 AS l_linenumber").write.parquet(str(tmp_path / "lineitem.parquet"))
+    found = registry.queries()["round_robin_facts"](spark, str(tmp_path))
+    assert sorted((r.grp, r.chunk, r.fact, r.place) for r in found.collect()) == [(7, 1, i, i + 1) for i in range(5)]
+    joined = found._jdf.queryExecution().optimizedPlan().toString()
+    assert joined.index("Join") < joined.index("Aggregate")
