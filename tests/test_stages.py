@@ -330,3 +330,11 @@ def test_repeated_orders_and_lines_join_once(spark, tmp_path):
     assert sorted((r.grp, r.chunk, r.fact, r.place) for r in found.collect()) == [(7, 1, i, i + 1) for i in range(5)]
     joined = found._jdf.queryExecution().optimizedPlan().toString()
     assert joined.index("Join") < joined.index("Aggregate")
+
+
+def test_statistics_equal_a_count(spark):
+    texts = ["one two two", "", None, "two Three", "--", "three three three"]
+    rows = spark.createDataFrame([(f"c{i}", t) for i, t in enumerate(texts)], "chunk_id string, raw_text string").repartition(3)
+    got = {r.token: (r.df, r.cf, r.idf) for r in R.term_statistics(rows).collect()}
+    idf = lambda df: round(max(0.0, math.log((3 - df + 0.5) / (df + 0.5) + 1)), 6)
+    assert got == {"one": (1, 1, idf(1)), "two": (2, 3, idf(2)), "three": (2, 4, idf(2))}
